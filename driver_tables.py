@@ -105,32 +105,40 @@ REPEATS = [
 ]
 
 
-def transactions(spark: SparkSession, sf_dir: str, squeeze: int = 1, copies: bool = True) -> DataFrame:
+NEAR_REPEATS = REPEATS[:1]
+
+
+def transactions(
+    spark: SparkSession,
+    sf_dir: str,
+    squeeze: int = 1,
+    repeats: list[tuple[int, int, int]] = REPEATS,
+    late: bool = True,
+) -> DataFrame:
     """Decoded transactions with source coordinates, from ``events``.
 
     ``squeeze`` divides the distance from the start of 2024, so that short windows fill up.
-    ``copies`` adds the repeats above. Every 50th event arrives late in its partition.
+    ``repeats`` are added as above. With ``late`` every 50th event arrives late in its partition.
     """
     id_ = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     names = F.array(*[F.lit(name) for name in CHANNELS])
     since = epoch_ms(F.col("ts")) - START_MS
-    repeats = F.array(
+    copies = F.array(
         F.struct(F.lit(0).cast("bigint").alias("delay"), F.lit(0).alias("step")),
         *[
             F.when(
                 id_ % every == 0,
                 F.struct(F.lit(delay).cast("bigint").alias("delay"), F.lit(step).alias("step")),
             )
-            for every, delay, step in REPEATS
-            if copies
+            for every, delay, step in repeats
         ],
     )
     events = (
         read(spark, sf_dir, "events")
         .withColumn("_since", since)
         .withColumn("_event_time", F.lit(START_MS) + F.expr(f"_since div {squeeze}L"))
-        .withColumn("_again", F.explode(repeats))
+        .withColumn("_again", F.explode(copies))
         .where(F.col("_again").isNotNull())
         .withColumn("event_time", F.col("_event_time") + F.col("_again.delay"))
     )
@@ -156,7 +164,9 @@ def transactions(spark: SparkSession, sf_dir: str, squeeze: int = 1, copies: boo
         F.lit("txn.api").alias("source_topic"),
         (F.col("user_id") % 12).cast("int").alias("source_partition"),
         (
-            id_ * 10 + F.when(id_ % 50 == 0, 20_000).otherwise(0) + F.col("_again.step")
+            id_ * 10
+            + F.when(F.lit(late) & (id_ % 50 == 0), 20_000).otherwise(0)
+            + F.col("_again.step")
         ).alias("source_offset"),
     )
 
@@ -207,3 +217,39 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("_ms").alias("received_at"),
         )
     )
+
+
+LOG_SCHEMA_ID = 1
+
+
+def log_records(rows: DataFrame, faults: bool = True) -> DataFrame:
+    """Transactions as framed log records with JSON bodies.
+
+    With ``faults`` some offsets carry a short frame, a wrong first byte, another schema id or a
+    body that does not parse.
+    """
+    coordinates = ("source_topic", "source_partition", "source_offset")
+    offset = F.col("source_offset")
+    body = F.to_json(F.struct(*[c for c in rows.columns if c not in coordinates])).cast("binary")
+
+    def framed(header: str, content: Column) -> Column:
+        return F.concat(F.unhex(F.lit(header)), content)
+
+    good = framed("0000000001", body)
+    value = good
+    if faults:
+        value = (
+            F.when(offset % 97 == 0, F.unhex(F.lit("0000")))
+            .when(offset % 89 == 0, framed("0100000001", body))
+            .when(offset % 83 == 0, framed("0000000007", body))
+            .when(offset % 79 == 0, framed("0000000001", F.lit(b"not json")))
+            .otherwise(good)
+        )
+    return rows.select(
+        F.col("source_topic").alias("topic"),
+        F.col("source_partition").alias("partition"),
+        F.col("source_offset").alias("offset"),
+        F.timestamp_millis(F.col("processing_time")).alias("timestamp"),
+        F.col("account_id").cast("binary").alias("key"),
+        value.alias("value"),
+    )

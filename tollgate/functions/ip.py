@@ -1,17 +1,17 @@
 """IP address expressions for both families, without Python workers.
 
-IPv6 text is read several times over. ``_bind`` names an intermediate value inside one
+IPv6 text is read several times over. ``bind`` names an intermediate value inside one
 expression, so the optimizer can move these columns about without multiplying them; IPv4 text
 never enters those branches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tollgate.functions.let import bind
+
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _V4 = rf"^{_OCTET}(\.{_OCTET}){{3}}\z"
 _V4_TAIL = rf"^(.*:){_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
@@ -22,10 +22,6 @@ NOT_AN_ADDRESS = "not an IPv4 or IPv6 address"
 MULTICAST = "multicast addresses must not be stored"
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def is_v4(ip: Column) -> Column:
     return ip.rlike(_V4)
 
@@ -76,7 +72,7 @@ def _split_groups(text: Column) -> Column:
             F.concat(sides["left"], F.array_repeat(F.lit("0"), missing), sides["right"]),
         )
 
-    short = _bind(F.struct(side(1).alias("left"), side(2).alias("right")), fill)
+    short = bind(F.struct(side(1).alias("left"), side(2).alias("right")), fill)
     return F.when(text.rlike(_FULL), F.split(text, ":")).when(
         text.rlike(rf"^{_GROUPS}?::{_GROUPS}?\z"), short
     )
@@ -86,7 +82,7 @@ def v6_groups(ip: Column) -> Column:
     """The eight hex groups as array<string>; null unless the text is an IPv6 address."""
     plain = F.lower(F.regexp_replace(ip, r"^([^%]+)%[^%]+\z", "$1"))
     return F.when(
-        ip.contains(":"), _bind(plain, lambda text: _bind(_undotted(text), _split_groups))
+        ip.contains(":"), bind(plain, lambda text: bind(_undotted(text), _split_groups))
     )
 
 
@@ -134,7 +130,7 @@ def truncate(ip: Column, ipv4_prefix: int = 24, ipv6_prefix: int = 64) -> Column
         return (
             F.when(groups.isNull(), _outcome(None, NOT_AN_ADDRESS))
             .when(F.get(groups, F.lit(0)).rlike("^ff[0-9a-f]{2}"), _outcome(None, MULTICAST))
-            .otherwise(_outcome(_bind(_masked_v6(groups, ipv6_prefix), _compress), None))
+            .otherwise(_outcome(bind(_masked_v6(groups, ipv6_prefix), _compress), None))
         )
 
     return (
@@ -144,7 +140,7 @@ def truncate(ip: Column, ipv4_prefix: int = 24, ipv6_prefix: int = 64) -> Column
                 _octet(ip, 0).cast("int").between(224, 239), _outcome(None, MULTICAST)
             ).otherwise(_outcome(_v4_network(ip, ipv4_prefix), None)),
         )
-        .when(ip.contains(":"), _bind(v6_groups(ip), v6))
+        .when(ip.contains(":"), bind(v6_groups(ip), v6))
         .otherwise(_outcome(None, NOT_AN_ADDRESS))
     )
 

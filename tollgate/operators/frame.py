@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.functions.let import bind
 from tollgate.schemas import DECODED, avro_schema
 
 HEADER_BYTES = 5
@@ -66,32 +67,39 @@ def decode(
     """
     reader = {"avro": _avro_body, "json": _json_body}[body]
     rest = F.substring(F.col("value"), HEADER_BYTES + 1, 2**31 - 1 - HEADER_BYTES)
-    framed = log.withColumn("_frame_error", frame_error(F.col("value"), expected_schema_id))
-    parsed = framed.withColumn("_row", F.when(F.col("_frame_error").isNull(), reader(rest, schema)))
     required = [f.name for f in schema.fields if not f.nullable]
-    absent = F.array_except(
-        F.array(*[F.when(F.col(f"_row.{name}").isNull(), F.lit(name)) for name in required]),
-        F.array(F.lit(None).cast("string")),
-    )
-    failed = F.lit(f"{body.title()} deserialization failed: ")
-    body_error = F.when(
-        F.col("_row").isNull() | (F.size("_absent") == len(required)),
-        F.concat(failed, F.lit("unreadable body")),
-    ).when(
-        F.size("_absent") > 0,
-        F.concat(failed, F.lit("no value for "), F.array_join("_absent", ", ")),
-    )
-    decided = parsed.withColumn("_absent", absent).withColumn(
-        "decode_error", F.coalesce("_frame_error", body_error)
-    )
-    good = F.col("decode_error").isNull()
-    return decided.select(
+    failed = f"{body.title()} deserialization failed: "
+
+    def verdict(row: Column | None, error: Column) -> Column:
+        body_type = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        kept = F.lit(None) if row is None else F.when(error.isNull(), row)
+        return F.struct(kept.cast(body_type).alias("row"), error.alias("error"))
+
+    def judge(row: Column) -> Column:
+        """Name the required fields without a value."""
+        gaps = [F.when(row[name].isNull(), F.lit(name)) for name in required]
+
+        def error(absent: Column) -> Column:
+            unreadable = row.isNull() | (absent == ", ".join(required))
+            return F.when(unreadable, F.lit(f"{failed}unreadable body")).when(
+                absent != "", F.concat(F.lit(f"{failed}no value for "), absent)
+            )
+
+        return bind(bind(F.concat_ws(", ", *gaps), error), lambda fault: verdict(row, fault))
+
+    def read(fault: Column) -> Column:
+        return F.when(fault.isNotNull(), verdict(None, fault)).otherwise(
+            bind(reader(rest, schema), judge)
+        )
+
+    fault = frame_error(F.col("value"), expected_schema_id)
+    return log.withColumn("_read", bind(fault, read)).select(
         F.col("topic").alias("source_topic"),
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
         "value",
-        "decode_error",
-        *[F.when(good, F.col(f"_row.{f.name}")).alias(f.name) for f in schema.fields],
+        F.col("_read.error").alias("decode_error"),
+        *[F.col(f"_read.row.{f.name}").alias(f.name) for f in schema.fields],
     )
 
 
