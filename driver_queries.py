@@ -18,7 +18,11 @@ from tollgate.operators import enrich as enr
 from tollgate.operators import geo as geo_op
 from tollgate.operators import velocity as vel
 from tollgate.plans.enrichment import enrich
+from tollgate.session import fresh_path, state_settings
 from tollgate.sources import event_log, generator
+from tollgate.streaming.enrich import read_valid, start_enrich
+from tollgate.streaming.progress import progress_frame
+from tollgate.streaming.route import start_route
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -956,3 +960,112 @@ def _generated(spark, sf_dir):
         "event_time",
         "account_id",
     )
+
+
+# Streams: each runs to the end of its input and returns what it stored
+
+STREAM_CFG = ProcessorConfig(expected_schema_id=tables.LOG_SCHEMA_ID)
+HALF = "half AS (SELECT (max(event_id) + 1) // 2 * 10 AS cut FROM events)"
+
+
+def _half(spark: SparkSession, sf_dir: str) -> int:
+    """The source offset that cuts the events in two."""
+    last = tables.read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    return (last + 1) // 2 * 10
+
+
+def _route(spark: SparkSession, sf_dir: str) -> str:
+    rows = tables.transactions(spark, sf_dir, repeats=[])
+    root = fresh_path(spark, "route")
+    cut = _half(spark, sf_dir)
+    for part in (F.col("source_offset") < cut, F.col("source_offset") >= cut):
+        tables.log_records(rows.where(part)).write.mode("append").parquet(f"{root}/in")
+        log = event_log.read_log_files(spark, f"{root}/in", STREAM_CFG)
+        with state_settings(spark):
+            start_route(log, f"{root}/out", f"{root}/checkpoint", STREAM_CFG, once=True).awaitTermination()
+    return f"{root}/out"
+
+
+ROUTED = f"""{HALF}, mark AS (
+  SELECT min(high) - 10000 AS watermark FROM (SELECT source_partition, max(event_time) AS high
+    FROM fr, half WHERE source_offset < cut AND decode_error IS NULL GROUP BY 1)
+), split AS (
+  SELECT fr.*, CASE WHEN source_offset >= cut THEN watermark END AS seen,
+    decode_error IS NULL AND source_offset >= cut AND event_time < watermark - 30000 AS is_late
+  FROM fr, half, mark
+)"""
+
+@register(
+    "stream_route_valid",
+    sql.with_(PLAIN, FRAMES, ROUTED)
+    + "SELECT transaction_id, source_offset, CAST(amount AS DOUBLE) AS amount FROM split "
+    "WHERE decode_error IS NULL AND NOT is_late",
+)
+def _route_valid(spark, sf_dir):
+    return spark.read.parquet(f"{_route(spark, sf_dir)}/valid").select(
+        "transaction_id", "source_offset", "amount"
+    )
+
+
+@register(
+    "stream_route_dead_letters",
+    sql.with_(PLAIN, FRAMES, ROUTED)
+    + "SELECT source_offset, CASE WHEN is_late THEN 'LATE_EVENT_BEYOND_ALLOWED_LATENESS' ELSE "
+    "'SCHEMA_VALIDATION_ERROR' END AS error_type, CASE WHEN is_late THEN 'event_time=' || event_time || ' is ' || "
+    "(seen - event_time) || 'ms behind watermark (allowed=30000ms)' ELSE decode_error END AS error_message, "
+    "CASE WHEN is_late THEN seen END AS watermark_at_rejection FROM split WHERE decode_error IS NOT NULL OR is_late",
+)
+def _route_dead(spark, sf_dir):
+    return spark.read.parquet(f"{_route(spark, sf_dir)}/dlq").select(
+        "source_offset", "error_type", "error_message", "watermark_at_rejection"
+    )
+
+
+STREAM_TXN = sql.txn(repeats=tables.NEAR_REPEATS, late=False)
+
+
+@register(
+    "stream_enrich",
+    sql.with_(
+        STREAM_TXN,
+        NEAR_FIRST,
+        sql.enriched().replace(sql.CLOCK, "processing_time + 25"),
+    )
+    + f"SELECT {ENRICHED_OUT} FROM enr",
+)
+def _stream_enrich(spark, sf_dir):
+    """Dedup, velocity and device state over two runs; events arrive in order."""
+    rows = tables.transactions(spark, sf_dir, repeats=tables.NEAR_REPEATS, late=False)
+    root = fresh_path(spark, "enrich")
+    cut = _half(spark, sf_dir)
+    for part in (F.col("source_offset") < cut, F.col("source_offset") >= cut):
+        rows.where(part).write.mode("append").parquet(f"{root}/in/valid")
+        with state_settings(spark):
+            start_enrich(
+                read_valid(spark, f"{root}/in", STREAM_CFG),
+                f"{root}/out",
+                f"{root}/checkpoint",
+                tables.blocks(spark),
+                STREAM_CFG,
+                F.col("processing_time") + 25,
+                once=True,
+            ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(*schemas.ENRICHED.fieldNames())
+
+
+@register(
+    "stream_progress",
+    "SELECT 'route' AS query, CAST(count(*) AS BIGINT) AS input_rows, false AS failed FROM events",
+)
+def _stream_progress(spark, sf_dir):
+    """Progress reports of a routing run over all events, added up per query."""
+    rows = tables.transactions(spark, sf_dir, repeats=[])
+    root = fresh_path(spark, "progress")
+    tables.log_records(rows).write.parquet(f"{root}/in")
+    log = event_log.read_log_files(spark, f"{root}/in", STREAM_CFG)
+    query = start_route(log, f"{root}/out", f"{root}/checkpoint", STREAM_CFG, once=True)
+    query.awaitTermination()
+    reports = progress_frame(spark, query.recentProgress)
+    return reports.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.max("failed").alias("failed")
+    )

@@ -14,6 +14,7 @@ from tollgate.session import fresh_path, write_durable
 TTL_MS = 48 * HOUR_MS
 ID = "transaction_id"
 _SALTS = 16
+_WHOLE_STEPS = 3
 
 
 def first_per_id(df: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -43,8 +44,11 @@ def dedup(
     spans = df.groupBy(ID).agg(
         F.min("event_time").alias("_first"), F.max("event_time").alias("_last")
     )
-    wide = spans.where(F.col("_last") - F.col("_first") >= ttl_ms).select(
-        ID, (F.col("_first") + ttl_ms).alias("_open_from")
+    wide = write_durable(
+        spans.where(F.col("_last") - F.col("_first") >= ttl_ms).select(
+            ID, (F.col("_first") + ttl_ms).alias("_open_from")
+        ),
+        "dedup-open",
     )
     if wide.isEmpty():
         return first
@@ -65,13 +69,15 @@ def _with_open_from(rows: DataFrame, state: DataFrame) -> DataFrame:
 def _kept_again(
     df: DataFrame, wide: DataFrame, ttl_ms: int, arrival: Sequence[str]
 ) -> DataFrame:
-    """Later kept rows as (id, event_time, arrival), found slice by slice of ``ttl_ms``.
+    """Later kept rows as (id, event_time, arrival).
 
-    At most one row per id is kept in a slice, so each step is one minimum per id with map-side
-    combine, over that slice's files only. The driver holds the slice numbers, nothing else.
+    Each step keeps the earliest open row per id, one minimum with map-side combine. The first
+    steps look at all rows, which is all it takes unless an id comes back many times. After them
+    one step per slice of ``ttl_ms`` finishes the rest: an id is kept at most once in a slice, so
+    each row is read once more. The driver holds slice numbers, nothing else.
     """
     spark = df.sparkSession
-    state = write_durable(wide, "dedup-open")
+    state = wide
     # Copies of one id at one moment collapse here; a hot id spreads over its moments.
     moments = (
         _with_open_from(df.select(ID, "event_time", *arrival), state)
@@ -81,11 +87,11 @@ def _kept_again(
         .hint("rebalance", "_step")
     )
     moments = write_durable(moments, "dedup-copies", "_step")
-    steps = sorted(row["_step"] for row in moments.select("_step").distinct().toLocalIterator())
     root = fresh_path(spark, "dedup-steps")
-    for step in steps:
+
+    def advance(rows: DataFrame, number: int) -> DataFrame:
         earliest = (
-            _with_open_from(moments.where(F.col("_step") == step), state)
+            _with_open_from(rows, state)
             .groupBy(ID)
             .agg(F.min(F.struct("event_time", "_arrival")).alias("_kept"))
         )
@@ -94,9 +100,18 @@ def _kept_again(
             F.coalesce(F.col("_kept.event_time") + ttl_ms, F.col("_open_from")).alias("_open_from"),
             "_kept",
         )
-        path = f"{root}/_step={step}"
+        path = f"{root}/_number={number}"
         after.write.parquet(path)
-        state = spark.read.schema(after.schema).parquet(path)
+        return spark.read.schema(after.schema).parquet(path)
+
+    for number in range(_WHOLE_STEPS):
+        state = advance(moments, number)
+        if state.where(F.col("_kept").isNotNull()).isEmpty():
+            break
+    else:
+        slices = moments.select("_step").distinct().toLocalIterator()
+        for number, step in enumerate(sorted(row["_step"] for row in slices), _WHOLE_STEPS):
+            state = advance(moments.where(F.col("_step") == step), number)
     kept = spark.read.schema(state.schema).parquet(root).where(F.col("_kept").isNotNull())
     return kept.select(ID, F.col("_kept.event_time").alias("event_time"), F.col("_kept._arrival.*"))
 

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +75,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """State store settings for the queries started inside; a query keeps what it started with."""
+    before = {key: spark.conf.get(key, None) for key in STREAM_SETTINGS}
+    for key, value in STREAM_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, which need it for the stateful processors."""
     root = os.path.dirname(os.path.abspath(__file__))

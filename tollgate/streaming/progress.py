@@ -23,7 +23,12 @@ def _epoch_ms(text: str | None) -> int | None:
 
 
 def _offset_sum(value) -> int | None:
-    """Sum of per-topic, per-partition offsets."""
+    """Sum of per-topic, per-partition offsets; null for sources that count otherwise."""
+    if isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except ValueError:
+            return None
     if not isinstance(value, dict):
         return None
     return sum(n for parts in value.values() if isinstance(parts, dict) for n in parts.values())
@@ -33,10 +38,7 @@ def progress_row(progress: dict) -> tuple:
     """One row of the progress table from a progress report."""
     lags = []
     for source in progress.get("sources", []):
-        ends = []
-        for name in ("latestOffset", "endOffset"):
-            value = source.get(name)
-            ends.append(_offset_sum(json.loads(value) if isinstance(value, str) else value))
+        ends = [_offset_sum(source.get(name)) for name in ("latestOffset", "endOffset")]
         if None not in ends:
             lags.append(ends[0] - ends[1])
     states = progress.get("stateOperators", [])
