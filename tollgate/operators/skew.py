@@ -58,7 +58,8 @@ def running(
 ) -> DataFrame:
     """Add running values within each (key, slice), and per-slice context columns.
 
-    Rows run in (time, arrival) order; ``arrival`` is (partition, offset), unique per row.
+    Rows run in (time, arrival) order; ``arrival`` is (partition, offset), unique per row. Keys
+    and time must not be null.
     Adds ``_n`` (row number in the slice) and one running sum per entry of ``sums``; ``context``
     gets the slice table and returns (keys, slice, more columns), which every row of the slice
     receives. ``_slice`` stays in the result. ``base`` may name a cheaper table with the same rows
