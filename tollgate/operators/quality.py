@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.config import DAY_MS, MINUTE_MS, SkewConfig
+from tollgate.operators.dedup import latest_per_id
+from tollgate.operators.skew import lookup_join
 from tollgate.operators.velocity import velocity
-from tollgate.schemas import FORBIDDEN_FIELDS, VELOCITY, VELOCITY_WINDOWS
+from tollgate.schemas import ARRIVAL, FORBIDDEN_FIELDS, VELOCITY, VELOCITY_WINDOWS
 
 
 def schema_differences(actual: T.StructType, contract: T.StructType) -> list[str]:
@@ -167,7 +169,8 @@ def corrections(
 ) -> DataFrame:
     """Emitted records whose velocity a late arrival has changed, with new values and stamp.
 
-    ``events`` are all unique transactions including the late ones, ``late`` the late ones. Only
+    ``events`` are all unique transactions including the late ones, ``late`` the late ones; the
+    latest emitted record of an id is the one to compare with. Only
     the accounts touched, and of them only the time a late row can reach, are computed again.
     Append the result; readers take the latest record per id.
     """
@@ -175,9 +178,9 @@ def corrections(
     spans = late.groupBy("account_id").agg(
         F.min("event_time").alias("_from"), F.max("event_time").alias("_to")
     )
-    touched = events.join(spans, "account_id").where(
-        F.col("event_time").between(F.col("_from") - reach, F.col("_to") + reach)
-    )
+    near = F.col("event_time").between(F.col("_from") - reach, F.col("_to") + reach)
+    # Salted: a hot account's rows must not meet on one task here.
+    touched = lookup_join(events, spans, ["account_id"], ARRIVAL, skew or SkewConfig()).where(near)
     names = VELOCITY.fieldNames()
     fresh = velocity(touched, skew).where(F.col("event_time") >= F.col("_from")).select(
         "transaction_id",
@@ -187,7 +190,7 @@ def corrections(
     changed = F.lit(False)
     for name in names:
         changed = changed | ~F.col(name).eqNullSafe(F.col(f"_new_{name}"))
-    pairs = emitted.join(fresh, "transaction_id").where(
+    pairs = latest_per_id(emitted).join(fresh, "transaction_id").where(
         (F.col("event_time") == F.col("_event_time")) & changed
     )
     return pairs.withColumns(

@@ -77,9 +77,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 @contextmanager
 def state_settings(spark: SparkSession) -> Iterator[None]:
-    """State store settings for the queries started inside; a query keeps what it started with."""
-    before = {key: spark.conf.get(key, None) for key in STREAM_SETTINGS}
-    for key, value in STREAM_SETTINGS.items():
+    """Settings for the stateful queries started inside; a query keeps what it started with.
+
+    The number of state partitions is fixed when a query first starts: here the session's cores.
+    """
+    settings = {
+        **STREAM_SETTINGS,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield

@@ -40,8 +40,7 @@ def route_batch(
         return
     before = _high_marks(spark, root, batch_id - 1)
     watermark = before.agg((F.min("high") - cfg.watermark_ms).alias("watermark")).first()[0]
-    log = log.persist()
-    decoded = decode(log, body, cfg.expected_schema_id)
+    decoded = decode(log, body, cfg.expected_schema_id).persist()
     mark = F.lit(watermark).cast("bigint")
     late = F.coalesce(F.col("event_time") < mark - cfg.lateness_ms, F.lit(False))
     good = (
@@ -65,7 +64,7 @@ def route_batch(
         .write.mode("overwrite")
         .parquet(f"{root}/marks/batch_id={batch_id}")
     )
-    log.unpersist()
+    decoded.unpersist()
 
 
 def start_route(
