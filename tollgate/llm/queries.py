@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import table
+from tollgate.llm.language import identify, learn
 from tollgate.llm.topk import exact_top_k
 
 
@@ -15,8 +16,17 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held_out)
+    model = learn(docs.where(~F.col("held_out")))
+    return identify(docs, model, keep=("doc_id", "held_out"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
