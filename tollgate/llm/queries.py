@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.common import table
 from tollgate.llm.language import identify, learn
+from tollgate.llm.mixing import mix
 from tollgate.llm.topk import exact_top_k
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -25,6 +31,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_mixing": op7_mixing,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
 }
