@@ -10,9 +10,23 @@ from pyspark.sql import functions as F
 from tollgate.llm.common import table
 from tollgate.llm.language import identify, learn
 from tollgate.llm.mixing import mix
+from tollgate.llm.sharding import shard
 from tollgate.llm.topk import exact_top_k
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard(table(spark, sf_dir, "documents"))
+    return sharded.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -31,6 +45,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_sharding": op4_sharding,
     "op7_mixing": op7_mixing,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
