@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import table
 from tollgate.llm.language import identify, learn
 from tollgate.llm.mixing import mix
+from tollgate.llm.packing import pack
 from tollgate.llm.sharding import shard
+from tollgate.llm.tokenfiles import read_token_files, write_token_files
 from tollgate.llm.topk import exact_top_k
+from tollgate.session import fresh_path
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +35,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, path)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -45,7 +59,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
