@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,24 @@ def ready(spark: SparkSession) -> None:
         context._tollgate_shipped = True
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go when each job ends; the tables they write stay."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Store:
     """Intermediate tables in the shared folder, dropped when they are no longer needed."""
 
     def __init__(self, spark: SparkSession, name: str):
         ready(spark)
         self.spark, self.name = spark, name
-        self.paths: dict[int, str] = {}
 
     def path(self, name: str) -> str:
         return fresh_path(self.spark, f"{self.name}-{name}")
@@ -45,9 +57,9 @@ class Store:
         writer = df.write.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        with shuffles_dropped(self.spark):
+            writer.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(kept)] = path
         kept._store_path = path
         return kept
 

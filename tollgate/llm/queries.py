@@ -13,6 +13,7 @@ from tollgate.llm.language import identify, learn
 from tollgate.llm.mixing import mix
 from tollgate.llm.packing import pack
 from tollgate.llm.sharding import shard
+from tollgate.llm.substrings import remove_repeats
 from tollgate.llm.tokenfiles import read_token_files, write_token_files
 from tollgate.llm.topk import exact_top_k
 from tollgate.session import fresh_path
@@ -46,6 +47,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
+    "op8_substrings": op8_substrings,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
 }
