@@ -14,6 +14,7 @@ from tollgate.llm.mixing import mix
 from tollgate.llm.packing import pack
 from tollgate.llm.sharding import shard
 from tollgate.llm.substrings import remove_repeats
+from tollgate.llm.suffixes import passage_spans
 from tollgate.llm.tokenfiles import read_token_files, write_token_files
 from tollgate.llm.topk import exact_top_k
 from tollgate.session import fresh_path
@@ -36,6 +37,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -66,6 +71,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_suffixes": op5_suffixes,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
