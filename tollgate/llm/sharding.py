@@ -70,8 +70,8 @@ def splitters(keys: DataFrame, goals: list[float], tolerance: float, probes: int
     """Boundaries of the (first, second) key space with about the goals' bytes below them.
 
     Each round sets probes inside the interval of every open goal, counts the exact bytes below all
-    of them in one pass, and keeps the closest. A goal is met within the tolerance, or when its
-    interval is a single first key; then the same search runs over the second keys of the rows with
+    of them in one pass, and keeps the closest. A goal is met within the tolerance, or when one row
+    is left around it. When its interval is a single first key with more rows, the same search runs over the second keys of the rows with
     that first key. The driver holds probes and sums only, however many rows there are.
     """
     found: dict[float, Splitter] = {}
@@ -87,7 +87,9 @@ def splitters(keys: DataFrame, goals: list[float], tolerance: float, probes: int
             at = min(max(bisect_right(sums, goal) - 1, 0), len(points) - 2)
             low, high = points[at], points[at + 1]
             best = min((low, high), key=lambda point: abs(known[point][0] - goal))
-            if abs(known[best][0] - goal) <= tolerance and best < HIGH:
+            met = abs(known[best][0] - goal) <= tolerance or known[high][1] - known[low][1] <= 1
+            if met:
+                best = best if best < HIGH else low
                 found[goal] = Splitter(best, LOW, *known[best])
             elif high - low <= 1:
                 hot.setdefault(low, []).append(goal)
@@ -120,7 +122,8 @@ def splitters_inside(rows: DataFrame, goals: list[float], tolerance: float, prob
             at = min(max(bisect_right(sums, goal) - 1, 0), len(points) - 2)
             low, high = points[at], points[at + 1]
             best = min((low, high), key=lambda point: abs(known[point][0] - goal))
-            if abs(known[best][0] - goal) <= tolerance or high - low <= 1:
+            met = abs(known[best][0] - goal) <= tolerance or known[high][1] - known[low][1] <= 1
+            if met or high - low <= 1:
                 found[goal] = best
             else:
                 wanted.update(spread(low, high, probes))
