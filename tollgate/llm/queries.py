@@ -15,11 +15,16 @@ from tollgate.llm.packing import pack
 from tollgate.llm.sharding import shard
 from tollgate.llm.substrings import remove_repeats
 from tollgate.llm.suffixes import passage_spans
+from tollgate.llm.superminhash import near_duplicates
 from tollgate.llm.tokenfiles import read_token_files, write_token_files
 from tollgate.llm.topk import exact_top_k
 from tollgate.session import fresh_path
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -69,6 +74,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_suffixes": op5_suffixes,
