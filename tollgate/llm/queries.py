@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tollgate.llm.common import table
 from tollgate.llm.language import identify, learn
 from tollgate.llm.mixing import mix
+from tollgate.llm.nndescent import nearest
 from tollgate.llm.packing import pack
 from tollgate.llm.sharding import shard
 from tollgate.llm.substrings import remove_repeats
@@ -25,6 +26,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -75,6 +80,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_nearest": op2_nearest,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_suffixes": op5_suffixes,
