@@ -146,17 +146,17 @@ def identify(
     that is null or has no letter is `und` with score 0, as is every text if nothing was learned.
     Of equal cosines the first language in code-point order wins. Repeated rows are judged singly,
     columns not in keep are not read, no rows give no rows; a column in keep may have any type but
-    not the names text, lang_pred or score.
+    not the names lang_pred or score; the text itself may be in it.
     """
     ready(docs.sparkSession)
     langs, prototypes = model
-    rows = docs.select(*keep, F.col(text).alias("text"))
-    fields = [f for f in rows.schema.fields if f.name != "text"]
+    rows = docs.select(*dict.fromkeys((*keep, text)))
+    fields = rows.schema.fields[: len(keep)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     compared = prototypes.T.copy()
 
     def run(batches):
-        for batch, data, borders in text_steps(batches, "text", 250_000):
+        for batch, data, borders in text_steps(batches, text, 250_000):
             size = len(batch)
             texts, codes, counts = trigrams(data, borders)
             best, score = np.full(size, -1), np.zeros(size)
