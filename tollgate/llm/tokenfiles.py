@@ -104,12 +104,15 @@ def write_token_files(
     store = Store(spark, "tokens")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
+    largest = max(encoder(tokenizer).tokenizer.get_vocab().values(), default=0)
+    kind = np.dtype("<u2" if max(largest, end_id) <= 0xFFFF else "<u4")
+
     def encode(batches):
-        coder = encoder(tokenizer)
+        coder, last = encoder(tokenizer), np.array([end_id], kind).tobytes()
         for part, data, borders in text_steps(batches, "text"):
             ids, ends = coder.encode(data, borders)
-            raw, ends = ids.astype("<u4").tobytes(), ends * 4
-            texts = [raw[a:b] + struct.pack("<I", end_id) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            raw, ends = ids.astype(kind).tobytes(), ends * kind.itemsize
+            texts = [raw[a:b] + last for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(texts, pa.binary())], names=["doc_id", "ids"]
             )
@@ -117,10 +120,9 @@ def write_token_files(
     def count(batches):
         totals = np.zeros(0, np.int64)
         for batch in batches:
-            for row in batch.column(0):
-                seen = np.bincount(np.frombuffer(row.as_buffer(), "<u4"), minlength=len(totals))
-                seen[: len(totals)] += totals
-                totals = seen
+            seen = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(totals))
+            seen[: len(totals)] += totals
+            totals = seen
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["id", "n"])
 
@@ -147,7 +149,7 @@ def write_token_files(
         for batch in batches:
             for one, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 doc_ids.append(one)
-                lists.append(np.frombuffer(row.as_buffer(), "<u4"))
+                lists.append(np.frombuffer(row.as_buffer(), kind))
                 waiting += len(lists[-1])
                 if waiting >= block_tokens:
                     yield ready()
