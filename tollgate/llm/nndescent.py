@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.common import Store, finite
 
-DEGREE = 12
+DEGREE = 20
 #: Reverse neighbours that take part at a node, as NN-descent samples them.
-REVERSE = 12
+REVERSE = 20
 #: Random partitions that the graph starts from, and rows of one block of them, about.
-TABLES = 4
-BLOCK_ROWS = 300
-ROUNDS = 4
+TABLES = 8
+BLOCK_ROWS = 1000
+ROUNDS = 3
 #: Updates that one node offers each of its neighbours in a round.
-OFFERS = 6
-BEAM = 96
-EXPANDED = 16
+OFFERS = 8
+BEAM = 400
+EXPANDED = 32
 SEED = 3
 
 EDGES = "node long, other long, sim float"
