@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.anchors import Passages, flatten, keyed
 from tollgate.llm.common import Store, text_steps
-from tollgate.llm.words import words_of
+from tollgate.llm.words import run_hashes, words_of
 
 #: Shortest passage that counts, and the words by which suffixes are sorted.
 PASSAGE = 50
@@ -20,7 +20,7 @@ PREFIX = 10
 FIRST = -(2**63)
 
 SORTED = "hash long, doc_id long, place long"
-#: place: where the row stands; again: it equals the row before it. edge 1 and 2 mark the first and
+#: again: the row before it has the same hash, and another document or place. edge 1 and 2 mark the first and
 #: last row of a task, which do not see the row before or after them.
 COMPARED = f"{SORTED}, again boolean, twin boolean, edge int, task int"
 
@@ -51,8 +51,10 @@ def compare(batches):
 def judged(rows: list[np.ndarray], task: int, first: bool, last: bool):
     """Verdicts on all rows but the last, which the next call judges, and but those judged before."""
     hashes = rows[0]
-    again = np.concatenate(([False], hashes[1:] == hashes[:-1]))
-    twin = again | np.concatenate((hashes[1:] == hashes[:-1], [False]))
+    equal = hashes[1:] == hashes[:-1]
+    moved = (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])
+    again = np.concatenate(([False], equal & moved))
+    twin = np.concatenate(([False], equal)) | np.concatenate((equal, [False]))
     edge = np.zeros(len(hashes), np.int32)
     if first:
         edge[0] = 1
@@ -82,7 +84,8 @@ def neighbours(store: Store, rows: DataFrame) -> DataFrame:
     again, twin = set(), set()
     for before, after in zip(ends, ends[1:], strict=False):
         if before["task"] != after["task"] and before["hash"] == after["hash"]:
-            again.add(after[:3])
+            if before[1:3] != after[1:3]:
+                again.add(after[:3])
             twin.update((before[:3], after[:3]))
     joined = [(*row, row in again, True) for row in sorted(twin)]
     more = store.spark.createDataFrame(joined, f"{SORTED}, again boolean, twin boolean")
@@ -139,23 +142,28 @@ def repeated_passages(
 
     windows = store.keep(texts.join(marks, "doc_id").mapInArrow(extended, SORTED), "windows")
     later = neighbours(store, windows).where("again")
-    later = later.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("place").alias("_starts"))
+    later = later.groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_list("place").alias("_starts"), F.collect_list("hash").alias("_hashes")
+    )
     later = store.keep(later, "later")
     store.drop(windows, marks)
 
     def finish(batches):
         for part, data, borders in text_steps(batches, "text"):
             words = words_of(data, borders)
-            places, row = flatten(part.column(part.num_columns - 1))
+            places, row = flatten(part.column(part.num_columns - 2))
+            hashes, _ = flatten(part.column(part.num_columns - 1))
             starts = places.view(np.int64) + words.borders[row]
-            # rows that share an id share their marks: a start beyond a text is another row's
-            starts = starts[starts + passage <= words.borders[row + 1]]
+            # rows that share an id share what was found: only a text that has the window there has it
+            inside = starts + passage <= words.borders[row + 1]
+            starts, hashes = starts[inside], hashes[inside]
+            starts = starts[run_hashes(words.hashes, starts, starts + passage) == hashes]
             change = np.zeros(len(words.hashes) + 1, np.int64)
             np.add.at(change, starts, 1)
             np.add.at(change, starts + passage, -1)
             yield make(part, data, words, np.cumsum(change)[:-1] > 0)
 
-    joined = rows.join(later, "_doc", "left").select(doc_id, "text", *columns, "_starts")
+    joined = rows.join(later, "_doc", "left").select(doc_id, "text", *columns, "_starts", "_hashes")
     return joined.mapInArrow(finish, schema)
 
 
@@ -165,7 +173,8 @@ def passage_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     One row for each longest run of words covered by windows of `passage` words that also start
     earlier, i.e. in a smaller doc_id, or in the same document before. The first copy of a passage
     gives no row, nor does a text without repeats. A null text has no words; a null id counts as the
-    smallest, and rows that share an id follow one another by place. No rows give no rows.
+    smallest. Rows that share an id are one document: among them only places decide, so repeated rows
+    are not earlier than each other. No rows give no rows.
     """
 
     def make(part, data, words, covered):
