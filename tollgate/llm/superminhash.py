@@ -140,7 +140,10 @@ def near_duplicates(
     forms all its pairs: a round compares its pivots (smallest ids) with the members that are not yet
     in their component, then leaves the pivots out; buckets with one component left are finished, and
     later rounds take more pivots. So a large group of near copies costs about one comparison a
-    member, and yet every pair of different components that share a bucket has been compared.
+    member. After the first round, shingles are counted over the documents still open: one that
+    shares fewer than percent / 100 of its own with any others cannot be linked and leaves, which
+    frees the buckets of documents that have only a common passage together. All other pairs of
+    different components that share a bucket are compared.
 
     A document without words has no set, is linked with nothing and kept. A null doc_id cannot be
     named: its row takes no part, is kept and has a null component_id. Rows that share a doc_id share
@@ -158,7 +161,7 @@ def near_duplicates(
 
     heads = named.join(classes.select("digest", "doc_id"), ["digest", "doc_id"], "left_semi")
     entries = heads.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
-    entries = entries.withColumn("node", F.col("doc_id"))
+    entries = entries.withColumns({"node": F.col("doc_id"), "n_common": F.col("n_shingles")})
     shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = shared.where("low <> high").select("bucket")
     entries = store.keep(entries.join(shared, "bucket").distinct(), "entries")
@@ -177,10 +180,12 @@ def near_duplicates(
         following = relabelled(following.drop("node"), roots)
         store.drop(links)
         links, following = roots, store.keep(following, "entries")
-        apart = following.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        apart = apart.where("low <> high").select("bucket")
-        left = store.keep(following.join(apart, "bucket", "left_semi"), "entries")
+        left = store.keep(unfinished(following), "entries")
         store.drop(entries, following, found)
+        if turn == 0:
+            able = linkable(left, sets, percent)
+            following, left = left, store.keep(unfinished(able), "entries")
+            store.drop(following)
         entries, turn = left, turn + 1
     store.drop(entries, sets)
 
@@ -203,22 +208,48 @@ def relabelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(known, "doc_id", "left").withColumn("node", F.coalesce("root", "doc_id")).drop("root")
 
 
+def unfinished(entries: DataFrame) -> DataFrame:
+    """Entries of buckets that hold more than one component."""
+    apart = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    return entries.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi")
+
+
+def linkable(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Entries whose documents have enough shingles in common with other open documents.
+
+    A link needs percent / 100 of the union, hence of each set, in the intersection. n_common becomes
+    the number of a document's shingles that another open document has: a bound on any intersection.
+    """
+    open_sets = sets.join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
+    elements = open_sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    span = elements.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    several = span.where("low <> high").select("shingle").hint("shuffle_hash")
+    common = elements.join(several, "shingle").groupBy("doc_id").agg(F.count("*").alias("n_common"))
+    able = entries.drop("n_common").join(common, "doc_id")
+    return able.where(100 * F.col("n_common") >= percent * F.col("n_shingles"))
+
+
 def leaders(entries: DataFrame, pivots: int) -> DataFrame:
     """The smallest ids of every bucket; tasks keep only that many of their own before the exchange."""
     if pivots == 1:
-        low = F.min(F.struct("doc_id", "n_shingles", "node"))
+        low = F.min(F.struct("doc_id", "n_shingles", "node", "n_common"))
         return entries.groupBy("bucket").agg(low.alias("one")).select("bucket", "one.*")
     order = Window.partitionBy("bucket").orderBy("doc_id")
     return entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots).drop("rank")
 
 
 def candidates(entries: DataFrame, leading: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a pivot and a member of another component, of sizes that can be similar enough."""
+    """Distinct pairs of a pivot and a member of another component that can be similar enough."""
     pivots = leading.select(
-        "bucket", F.col("doc_id").alias("pivot"), F.col("n_shingles").alias("n_pivot"), F.col("node").alias("at")
+        "bucket",
+        F.col("doc_id").alias("pivot"),
+        F.col("n_shingles").alias("n_pivot"),
+        F.col("n_common").alias("common_pivot"),
+        F.col("node").alias("at"),
     )
-    small, large = F.least("n_pivot", "n_shingles"), F.greatest("n_pivot", "n_shingles")
-    pairs = entries.join(pivots, "bucket").where((F.col("at") != F.col("node")) & (100 * small >= percent * large))
+    most, both = F.least("common_pivot", "n_common"), F.col("n_pivot") + F.col("n_shingles")
+    possible = (100 + percent) * most >= percent * both
+    pairs = entries.join(pivots, "bucket").where((F.col("at") != F.col("node")) & possible)
     return pairs.select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     ).distinct()
