@@ -56,7 +56,7 @@ def enrich_many(spark):
         {name: F.concat_ws("/", name, "_copy") for name in ("transaction_id", "account_id")}
         | {"source_offset": F.col("source_offset") * TIMES + F.col("_copy").cast("bigint")}
     )
-    return enrich(many.drop("_copy"), tables.blocks(spark), within_ttl=True)
+    return enrich(many.drop("_copy"), tables.blocks(spark))
 
 
 def main() -> None:

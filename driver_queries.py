@@ -53,7 +53,7 @@ def register(name: str, oracle: str | None = None):
 def base_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched records for the queries about enriched records: near repeats only."""
     rows = tables.transactions(spark, sf_dir, repeats=tables.NEAR_REPEATS)
-    return enrich(rows, tables.blocks(spark), CFG, tables.enrichment_clock(), within_ttl=True)
+    return enrich(rows, tables.blocks(spark), CFG, tables.enrichment_clock())
 
 
 NEAR = sql.txn(repeats=tables.NEAR_REPEATS)
@@ -90,7 +90,7 @@ def _dedup(spark, sf_dir):
 @register("first_per_id", sql.with_(NEAR, NEAR_FIRST) + "SELECT transaction_id, event_time, source_partition, source_offset FROM uniq")
 def _first(spark, sf_dir):
     rows = tables.transactions(spark, sf_dir, repeats=tables.NEAR_REPEATS)
-    return dd.dedup(rows, within_ttl=True).select("transaction_id", "event_time", *schemas.ARRIVAL)
+    return dd.dedup(rows).select("transaction_id", "event_time", *schemas.ARRIVAL)
 
 
 def _velocity_columns(df: DataFrame) -> DataFrame:
@@ -427,7 +427,7 @@ def _frame_decode(spark, sf_dir):
 def _frame_encode(spark, sf_dir):
     rows = tables.transactions(spark, sf_dir).select("transaction_id", "account_id", "currency")
     value = F.col("value")
-    body = F.from_json(F.substring(value, 6, 10_000).cast("string"), rows.schema)
+    body = F.from_json(F.expr("substring(value, 6)").cast("string"), rows.schema)
     return (
         frame.encode(rows, 42, "json")
         .select(
@@ -484,7 +484,7 @@ FROM late WHERE is_late"""
 def _dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.transactions(spark, sf_dir, repeats=[])
     decoded = frame.decode(tables.log_records(rows), "json", tables.LOG_SCHEMA_ID)
-    flagged = lateness.with_watermark_and_lateness(rows)
+    flagged = lateness.with_watermark_and_lateness(frame.decoded_rows(decoded))
     return dlq.union_failures(
         dlq.schema_failures(decoded), dlq.late_events(flagged, CFG.lateness_ms)
     )

@@ -1,17 +1,21 @@
 """Device history, deduplication, lateness and location."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import HOT, SKEWS, T0
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import driver_tables as tables
 from tollgate.config import DAY_MS, HOUR_MS, ProcessorConfig
 from tollgate.operators.dedup import TTL_MS, dedup, first_per_id, latest_per_id
 from tollgate.operators.device import IDLE_MS, device_profile, device_snapshot
 from tollgate.operators.geo import geolocate, network_blocks
 from tollgate.operators.lateness import with_watermark_and_lateness
-from tollgate.schemas import DEVICE, GEO
+from tollgate.plans.enrichment import enrich_all
+from tollgate.schemas import DECODED, DEVICE, GEO, SOURCE
 from tollgate.sources.geo_blocks import read_blocks
 
 
@@ -152,3 +156,21 @@ def test_block_table_from_csv(spark, tmp_path):
     assert [tuple(r) for r in read_blocks(spark, str(tmp_path), "csv").collect()] == [
         (32, 8, "00001010", "US", None)
     ]
+
+
+@pytest.mark.parametrize("skew", SKEWS)
+def test_features_beyond_the_contract_become_dead_letters(spark, skew):
+    most = Decimal("99999999999999.9999")
+    fields = {f.name: None for f in [*SOURCE.fields, *DECODED.fields]}
+    common = {**fields, "source_topic": "txn", "source_partition": 0, "account_id": "a", "currency": "EUR", "processing_time": T0}
+    data = [
+        {**common, "source_offset": i, "transaction_id": name, "event_time": T0 + i, "amount": amount, "account_id": account}
+        for i, (name, account, amount) in enumerate([("x", "a", most), ("y", "a", most), ("z", "b", Decimal(1))])
+    ]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in [*SOURCE.fields, *DECODED.fields]])
+    rows = spark.createDataFrame([tuple(d[f.name] for f in schema.fields) for d in data], schema)
+    records, letters = enrich_all(rows, tables.blocks(spark), ProcessorConfig(skew=skew), F.lit(T0 + 5))
+    assert sorted(r.transaction_id for r in records.collect()) == ["x", "z"]
+    letter = letters.collect()
+    assert [(r.transaction_id, r.error_type) for r in letter] == [("y", "ENRICHMENT_EXCEPTION")]
+    assert letter[0].error_message.startswith("vel_amount_1m")

@@ -20,7 +20,7 @@ ROW = (
 )
 
 
-def run(spark, batches, build):
+def run(spark, batches, build, rows=False):
     """Feed one file set per batch to a query over ROW files; each batch is a restart."""
     root = fresh_path(spark, "test-stream")
     ship_package(spark)
@@ -41,7 +41,8 @@ def run(spark, batches, build):
                 .start()
                 .awaitTermination()
             )
-    return {r.transaction_id: r for r in spark.read.parquet(f"{root}/out").collect()}
+    found = spark.read.parquet(f"{root}/out").collect()
+    return found if rows else {r.transaction_id: r for r in found}
 
 
 def with_time(df):
@@ -87,10 +88,55 @@ def test_device_state_and_idle_gap(spark):
 
 def test_stream_dedup_over_restarts(spark):
     batches = [[("t", "a", "k", T0, 1), ("t", "a", "k", T0 + 1, 1)], [("t", "a", "k", T0 + DAY_MS, 1), ("u", "a", "k", T0, 1)]]
-    found = run(spark, batches, stream_dedup)
+    found = run(spark, batches, routed)
     assert sorted(found) == ["t", "u"]
 
 
+def test_stream_dedup_accepts_returns_and_slow_partitions(spark):
+    hour = 3_600_000
+    batches = [
+        [("t", "a", "k", T0, 1), ("future", "a", "k", T0 + 10_000 * hour, 1)],
+        [("t", "a", "k", T0 + 47 * hour, 2), ("slow", "a", "k", T0 - 90 * hour, 1)],
+        [("t", "a", "k", T0 + 60 * hour, 3), ("slow", "a", "k", T0 - 89 * hour, 2)],
+        [("t", "a", "k", T0 + 107 * hour, 4), ("u", "a", "k", T0, 1)],
+    ]
+    times = kept_times(spark, batches)
+    assert times["t"] == [T0, T0 + 60 * hour]
+    assert times["slow"] == [T0 - 90 * hour] and len(times["future"]) == len(times["u"]) == 1
+
+
+def routed(df):
+    """Rows as the route query accepts them: the slowest row is 90 hours back, the watermark behind it."""
+    names = {"source_topic": F.lit("txn"), "routed_watermark": F.col("event_time") * 0 + T0 - 4 * DAY_MS}
+    return stream_dedup(df.withColumns(names))
+
+
+def kept_times(spark, batches):
+    times = {}
+    for row in run(spark, batches, routed, rows=True):
+        times.setdefault(row.transaction_id, []).append(row.event_time)
+    return {name: sorted(found) for name, found in times.items()}
+
+
+def test_crash_between_outputs_keeps_what_a_reader_may_have(spark):
+    root, cfg = fresh_path(spark, "test-route"), ProcessorConfig()
+    log = tables.log_records(tables.transactions(spark, SF, repeats=[]))
+    route_batch(log, 0, root, cfg)
+    files = sorted(spark.read.parquet(f"{root}/valid").inputFiles())
+    crashed = fresh_path(spark, "test-route")
+    spark.read.parquet(f"{root}/valid/batch_id=0").write.parquet(f"{crashed}/valid/batch_id=0")
+    before = sorted(spark.read.parquet(f"{crashed}/valid").inputFiles())
+    route_batch(log, 0, crashed, cfg)
+    assert files and sorted(spark.read.parquet(f"{crashed}/valid").inputFiles()) == before
+    assert spark.read.parquet(f"{crashed}/dlq").count() == spark.read.parquet(f"{root}/dlq").count()
+
+
+def test_missing_watermark_of_an_earlier_batch_is_an_error(spark):
+    log = tables.log_records(tables.transactions(spark, SF, repeats=[]))
+    with pytest.raises(FileNotFoundError):
+        route_batch(log, 3, fresh_path(spark, "test-route"), ProcessorConfig())
+
+
 def test_replayed_batch_changes_nothing(spark):
     root, cfg = fresh_path(spark, "test-route"), ProcessorConfig()
     log = tables.log_records(tables.transactions(spark, SF, repeats=[]))

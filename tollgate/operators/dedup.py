@@ -31,16 +31,13 @@ def dedup(
     df: DataFrame,
     ttl_ms: int = TTL_MS,
     arrival: Sequence[str] = ARRIVAL,
-    within_ttl: bool = False,
 ) -> DataFrame:
     """Keep a row unless its id was already kept less than ``ttl_ms`` before.
 
     Only ids whose copies span the ttl can have a second kept row. They are found by one small
-    aggregate; if there are none (or ``within_ttl`` says so) the first row per id is the answer.
+    aggregate; if there are none the first row per id is the answer.
     """
     first = first_per_id(df, arrival)
-    if within_ttl:
-        return first
     spans = df.groupBy(ID).agg(
         F.min("event_time").alias("_first"), F.max("event_time").alias("_last")
     )

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.config import ProcessorConfig
-from tollgate.schemas import ENRICHED
+from tollgate.operators.dlq import envelope
+from tollgate.operators.velocity import as_count
+from tollgate.schemas import DECODED, ENRICHED, ENRICHMENT_ERROR, VELOCITY
 
 
 def now_ms() -> Column:
@@ -14,8 +16,36 @@ def now_ms() -> Column:
 
 
 def latency_ms(enrichment_time: Column, processing_time: Column) -> Column:
-    elapsed = F.greatest(F.lit(0).cast("bigint"), enrichment_time - processing_time)
-    return F.least(elapsed, F.lit(2**31 - 1).cast("bigint")).cast("int")
+    """Elapsed time, not below 0; null beyond the contract's int."""
+    return as_count(F.greatest(F.lit(0).cast("bigint"), enrichment_time - processing_time))
+
+
+def overflow(clock: Column) -> Column:
+    """Name of the first feature that does not fit its contract type; null where all do."""
+    checks = [F.when(F.col(name).isNull(), F.lit(name)) for name in VELOCITY.fieldNames()]
+    counted = F.col("device_first_seen").isNotNull() & F.col("device_txn_count").isNull()
+    checks.append(F.when(counted, F.lit("device_txn_count")))
+    late = F.col("processing_time").isNotNull() & latency_ms(clock, F.col("processing_time")).isNull()
+    checks.append(F.when(late, F.lit("enrichment_latency_ms")))
+    return F.coalesce(*checks)
+
+
+def split_overflow(
+    df: DataFrame, enrichment_time: Column | None = None, **stamps: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose features fit the contract, and dead letters for the others."""
+    clock = now_ms() if enrichment_time is None else enrichment_time
+    marked = df.withColumn("_overflow", overflow(clock))
+    bad = marked.where(F.col("_overflow").isNotNull())
+    fields = [field.name for field in DECODED.fields]
+    letters = envelope(
+        bad,
+        F.lit(ENRICHMENT_ERROR),
+        F.concat(F.col("_overflow"), F.lit(" exceeds its contract type")),
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary"),
+        **stamps,
+    )
+    return marked.where(F.col("_overflow").isNull()).drop("_overflow"), letters
 
 
 def assemble(

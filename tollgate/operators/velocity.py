@@ -17,13 +17,14 @@ _MAX_MONEY = "99999999999999.9999"
 
 
 def as_count(value: Column) -> Column:
-    """Contract int; a count beyond it saturates instead of failing the job."""
-    return F.least(value, F.lit(_MAX_INT).cast("bigint")).cast("int")
+    """Contract int; null where the count is beyond it, which ``enrich`` turns into a dead letter."""
+    return F.when(value <= _MAX_INT, value).cast("int")
 
 
 def as_money(value: Column) -> Column:
-    """Contract decimal(18,4), saturating likewise."""
-    return F.least(value, F.lit(_MAX_MONEY).cast("decimal(38,4)")).cast("decimal(18,4)")
+    """Contract decimal(18,4); null where the amount is beyond it."""
+    limit = F.lit(_MAX_MONEY).cast("decimal(38,4)")
+    return F.when(F.abs(value) <= limit, value).cast("decimal(18,4)")
 
 
 def minute_partials(df: DataFrame, keys: Sequence[str] = ACCOUNT) -> DataFrame:
@@ -61,7 +62,7 @@ def velocity(
     keys: Sequence[str] = ACCOUNT,
     arrival: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
-    """Add the eight velocity columns.
+    """Add the eight velocity columns; one beyond its contract type is null.
 
     ``mode="bucket"`` counts whole minute buckets from m minutes before the row's own bucket, up
     to the row itself in (event_time, arrival) order. ``mode="exact"`` counts event times in

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from tollgate.config import ProcessorConfig
 from tollgate.operators.dedup import dedup
 from tollgate.operators.device import device_profile
-from tollgate.operators.enrich import assemble
+from tollgate.operators.enrich import assemble, split_overflow
 from tollgate.operators.geo import geolocate
 from tollgate.operators.velocity import velocity
 from tollgate.session import write_durable
@@ -18,17 +18,30 @@ def enrich(
     blocks: DataFrame,
     cfg: ProcessorConfig | None = None,
     enrichment_time: Column | None = None,
-    within_ttl: bool = False,
 ) -> DataFrame:
-    """Decoded transactions with source coordinates to enriched records.
+    """The enriched records of ``enrich_all``."""
+    return enrich_all(transactions, blocks, cfg, enrichment_time)[0]
+
+
+def enrich_all(
+    transactions: DataFrame,
+    blocks: DataFrame,
+    cfg: ProcessorConfig | None = None,
+    enrichment_time: Column | None = None,
+    **stamps: Column,
+) -> tuple[DataFrame, DataFrame]:
+    """Decoded transactions with source coordinates to enriched records and dead letters.
+
+    A row with a feature beyond its contract type becomes a letter. ``stamps`` go to the letters.
 
     Each feature is a column of one lineage, so no join puts them together. The deduplicated rows
     are written once to the shared folder: every operator also needs a narrow aggregate of them,
     which then reads two or three columns of files instead of repeating the plan so far.
     """
     cfg = cfg or ProcessorConfig()
-    unique = write_durable(dedup(transactions, cfg.dedup_ttl_ms, within_ttl=within_ttl), "unique")
+    unique = write_durable(dedup(transactions, cfg.dedup_ttl_ms), "unique")
     counted = velocity(unique, cfg.skew, cfg.velocity_mode)
     placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence, base=unique)
     profiled = device_profile(placed, cfg.skew, cfg.device_idle_ms, base=unique)
-    return assemble(profiled, cfg, enrichment_time)
+    good, letters = split_overflow(profiled, enrichment_time, **stamps)
+    return assemble(good, cfg, enrichment_time), letters

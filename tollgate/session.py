@@ -46,11 +46,13 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir where set.
 
-    Only a session without that setting, as in tests, gets a fresh local folder.
+    Only a session without that setting on one machine, as in tests, gets a fresh local folder.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if configured is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tollgate-"))
     return configured or context.getCheckpointDir()
 

@@ -8,13 +8,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tollgate.config import ProcessorConfig
-from tollgate.operators.enrich import assemble
+from tollgate.operators.dlq import stable_id
+from tollgate.operators.enrich import assemble, split_overflow
 from tollgate.operators.geo import geolocate
 from tollgate.schemas import DECODED, DEVICE, SOURCE, VELOCITY
 from tollgate.session import ship_package
-from tollgate.streaming.processors import NO_DEVICE_PREFIX, DeviceProcessor, VelocityProcessor
-
-VALID = T.StructType(SOURCE.fields + DECODED.fields)
+from tollgate.streaming.processors import (
+    NO_DEVICE_PREFIX,
+    DedupProcessor,
+    DeviceProcessor,
+    VelocityProcessor,
+)
+
+VALID = T.StructType(
+    [*SOURCE.fields, *DECODED.fields, T.StructField("routed_watermark", T.LongType(), True)]
+)
+# How far files of one routed batch may trail the next one's; the clock of the query waits for them.
+_CLOCK_SLACK = "10 minutes"
 # Rows without a device need no state; they are spread over this many keys.
 _NO_DEVICE_KEYS = 64
 
@@ -31,12 +41,20 @@ def read_valid(spark: SparkSession, root: str, cfg: ProcessorConfig) -> DataFram
 
 
 def stream_dedup(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFrame:
-    """Drop ids seen within the ttl of event time. Adds the ``event_ts`` watermark column."""
+    """Drop rows within the ttl of their id's last accepted row. Adds ``event_ts``, the clock.
+
+    The clock of the query is the watermark by which the route query accepted a row, not the row's
+    own time: it never outruns acceptance, so a slow partition or a row from the future loses nothing.
+    """
     cfg = cfg or ProcessorConfig()
-    return (
-        rows.withColumn("event_ts", F.timestamp_millis(F.col("event_time")))
-        .withWatermark("event_ts", f"{cfg.dedup_ttl_ms} milliseconds")
-        .dropDuplicatesWithinWatermark(["transaction_id"])
+    clock = F.timestamp_millis(F.coalesce("routed_watermark", F.lit(0).cast("bigint")))
+    clocked = rows.withColumn("event_ts", clock).withWatermark("event_ts", _CLOCK_SLACK)
+    return clocked.groupBy("transaction_id").transformWithState(
+        DedupProcessor(cfg.dedup_ttl_ms, cfg.lateness_ms),
+        _plus(clocked.schema, T.StructType([])),
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="event_ts",
     )
 
 
@@ -87,11 +105,18 @@ def write_batch(
 ) -> None:
     """Finish and store one micro-batch under its own partition: a replay replaces it whole."""
     batch = batch.persist()
-    placed = geolocate(batch, blocks, cfg.skew, cfg.geo_confidence)
-    assemble(placed, cfg, enrichment_time).write.mode("overwrite").parquet(
-        f"{path}/batch_id={batch_id}"
-    )
-    batch.unpersist()
+    try:
+        placed = geolocate(batch, blocks, cfg.skew, cfg.geo_confidence)
+        good, letters = split_overflow(
+            placed, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
+        )
+        assemble(good, cfg, enrichment_time).write.mode("overwrite").parquet(
+            f"{path}/batch_id={batch_id}"
+        )
+        # next to the records, not below them: a reader of the records sees no letters
+        letters.write.mode("overwrite").parquet(f"{path.rstrip('/')}-dlq/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
 
 
 def start_enrich(
@@ -103,7 +128,7 @@ def start_enrich(
     enrichment_time: Column | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Start enriching a stream of valid rows into ``path``."""
+    """Start enriching a stream of valid rows into ``path``, dead letters into ``path``-dlq."""
     cfg = cfg or ProcessorConfig()
     ship_package(rows.sparkSession)
     writer = (

@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from tollgate.config import DAY_MS, MINUTE_MS
-from tollgate.schemas import DEVICE, MONEY, VELOCITY_WINDOWS
+from tollgate.schemas import DEVICE, VELOCITY_WINDOWS
 
 RETENTION_MS = DAY_MS + 41_000
 IDLE_MS = 7 * DAY_MS
-FALLBACK_MS = 14 * DAY_MS
 NO_DEVICE_PREFIX = "__no_device__"
 
 _BUCKET_KEY = T.StructType([T.StructField("bucket", T.LongType())])
-_BUCKET_VALUE = T.StructType([T.StructField("cnt", T.LongType()), T.StructField("amount", MONEY)])
+_WIDE = T.DecimalType(38, 4)
+_BUCKET_VALUE = T.StructType([T.StructField("cnt", T.LongType()), T.StructField("amount", _WIDE)])
+_ACCEPTED = T.StructType([T.StructField("event_time", T.LongType())])
 _PROFILE = T.StructType(
     [
         T.StructField("first_seen", T.LongType()),
@@ -31,6 +32,47 @@ _PROFILE = T.StructType(
     ]
 )
 _INT_MAX = 2**31 - 1
+_MONEY_MAX = Decimal("99999999999999.9999")
+
+
+def _fitting(value, limit):
+    """A feature beyond its contract type is null, as in batch; the row becomes a dead letter."""
+    return value if abs(value) <= limit else None
+
+
+class DedupProcessor(StatefulProcessor):
+    """Drops a row within the ttl of its id's last accepted row, in either direction of time.
+
+    The event-time clock of the query is the routed watermark, so no row that can still come lies
+    more than the allowed lateness behind it: until then an id is remembered.
+    """
+
+    def __init__(self, ttl_ms: int, lateness_ms: int) -> None:
+        self._ttl_ms, self._lateness_ms = ttl_ms, lateness_ms
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._accepted = handle.getValueState("accepted", _ACCEPTED)
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = self._accepted.get()[0] if self._accepted.exists() else None
+        before = last
+        for row in sorted(rows, key=lambda r: (r.source_topic, r.source_partition, r.source_offset)):
+            if last is None or abs(row.event_time - last) >= self._ttl_ms:
+                last = row.event_time if last is None else max(last, row.event_time)
+                yield row
+        if last != before:
+            if before is not None:
+                self._handle.deleteTimer(before + self._ttl_ms + self._lateness_ms)
+            self._accepted.update((last,))
+            self._handle.registerTimer(last + self._ttl_ms + self._lateness_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._accepted.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
 
 
 class VelocityProcessor(StatefulProcessor):
@@ -59,18 +101,25 @@ class VelocityProcessor(StatefulProcessor):
             for label, _ in VELOCITY_WINDOWS:
                 count, amount = totals[label]
                 totals[label] = (count + 1, amount + row.amount)
-                features[f"vel_count_{label}"] = min(count + 1, _INT_MAX)
-                features[f"vel_amount_{label}"] = amount + row.amount
+                features[f"vel_count_{label}"] = _fitting(count + 1, _INT_MAX)
+                features[f"vel_amount_{label}"] = _fitting(amount + row.amount, _MONEY_MAX)
             yield Row(**row.asDict(), **features)
         for bucket in changed:
             self._buckets.updateValue((bucket,), buckets[bucket])
-        for delay in (RETENTION_MS, IDLE_MS, FALLBACK_MS):
-            self._handle.registerTimer(latest + delay)
+        # no window of a row that can still come reaches buckets a day and more behind the watermark
+        oldest = (timerValues.getCurrentWatermarkInMs() - RETENTION_MS) // MINUTE_MS
+        for bucket in [b for b in buckets if b < oldest]:
+            if self._buckets.containsKey((bucket,)):
+                self._buckets.removeKey((bucket,))
+        # one timer per account, moved forward with its latest row
+        for timer in list(self._handle.listTimers()):
+            latest = max(latest, timer - RETENTION_MS)
+            self._handle.deleteTimer(timer)
+        self._handle.registerTimer(latest + RETENTION_MS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        oldest = (expiredTimerInfo.getExpiryTimeInMs() - RETENTION_MS) // MINUTE_MS
-        for bucket in [k[0] for k in self._buckets.keys() if k[0] < oldest]:
-            self._buckets.removeKey((bucket,))
+        # the latest row is a day and more behind the watermark: no window reaches its bucket again
+        self._buckets.clear()
         return iter([])
 
     def close(self) -> None:
@@ -99,8 +148,8 @@ class DeviceProcessor(StatefulProcessor):
             if profile is None or time - profile[3] > self._idle_ms:
                 profile = (time, 1, False, time)
             else:
-                profile = (profile[0], profile[1] + 1, profile[2], time)
-            features = (profile[0], min(profile[1], _INT_MAX), profile[2])
+                profile = (min(profile[0], time), profile[1] + 1, profile[2], max(profile[3], time))
+            features = (profile[0], _fitting(profile[1], _INT_MAX), profile[2])
             yield Row(**row.asDict(), **dict(zip(DEVICE.fieldNames(), features)))
         self._profile.update(profile)
         self._handle.registerTimer(profile[3] + self._idle_ms)

@@ -16,17 +16,25 @@ from tollgate.operators.dlq import late_events, schema_failures, stable_id, unio
 from tollgate.operators.frame import decode
 from tollgate.session import path_exists
 
-_MARKS = "source_partition int, high bigint"
+_MARKS = "source_topic string, source_partition int, high bigint"
 
 
 def _high_marks(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """Highest event time per source partition after a batch: one small file per batch."""
+    if batch_id < 0:
+        return spark.createDataFrame([], _MARKS)
     path = f"{root}/marks/batch_id={batch_id}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        return spark.sql("SELECT cast(null as int) source_partition, cast(null as bigint) high LIMIT 0")
+        raise FileNotFoundError(f"no watermark of batch {batch_id} under {root}/marks")
     return spark.read.schema(_MARKS).parquet(path)
 
 
+def _write_once(df: DataFrame, path: str) -> None:
+    """Write an output of a batch unless an earlier attempt finished it: a reader may have its files."""
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+
+
 def route_batch(
     log: DataFrame, batch_id: int, root: str, cfg: ProcessorConfig, body: str = "json"
 ) -> None:
@@ -41,6 +49,20 @@ def route_batch(
     before = _high_marks(spark, root, batch_id - 1)
     watermark = before.agg((F.min("high") - cfg.watermark_ms).alias("watermark")).first()[0]
     decoded = decode(log, body, cfg.expected_schema_id).persist()
+    try:
+        _write_outputs(decoded, before, watermark, batch_id, root, cfg)
+    finally:
+        decoded.unpersist()
+
+
+def _write_outputs(
+    decoded: DataFrame,
+    before: DataFrame,
+    watermark: int | None,
+    batch_id: int,
+    root: str,
+    cfg: ProcessorConfig,
+) -> None:
     mark = F.lit(watermark).cast("bigint")
     late = F.coalesce(F.col("event_time") < mark - cfg.lateness_ms, F.lit(False))
     good = (
@@ -48,23 +70,18 @@ def route_batch(
         .drop("decode_error")
         .withColumns({"watermark": mark, "is_late": late})
     )
-    valid = good.where(~F.col("is_late")).drop("value", "watermark", "is_late")
+    valid = good.where(~F.col("is_late")).drop("value", "is_late")
+    valid = valid.withColumnRenamed("watermark", "routed_watermark")
     dead = union_failures(
         schema_failures(decoded, dlq_id=stable_id(F.lit("schema"))),
         late_events(good, cfg.lateness_ms, dlq_id=stable_id(F.lit("late"))),
     )
-    valid.write.mode("overwrite").parquet(f"{root}/valid/batch_id={batch_id}")
-    dead.write.mode("overwrite").parquet(f"{root}/dlq/batch_id={batch_id}")
-    here = good.groupBy("source_partition").agg(F.max("event_time").alias("high"))
-    (
-        before.unionByName(here)
-        .groupBy("source_partition")
-        .agg(F.max("high").alias("high"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{root}/marks/batch_id={batch_id}")
-    )
-    decoded.unpersist()
+    _write_once(valid, f"{root}/valid/batch_id={batch_id}")
+    _write_once(dead, f"{root}/dlq/batch_id={batch_id}")
+    keys = ["source_topic", "source_partition"]
+    here = good.groupBy(*keys).agg(F.max("event_time").alias("high"))
+    marks = before.unionByName(here).groupBy(*keys).agg(F.max("high").alias("high"))
+    _write_once(marks.coalesce(1), f"{root}/marks/batch_id={batch_id}")
 
 
 def start_route(
