@@ -45,9 +45,12 @@ def stream_dedup(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFra
 
     The clock of the query is the watermark by which the route query accepted a row, not the row's
     own time: it never outruns acceptance, so a slow partition or a row from the future loses nothing.
+    Rows from before the first watermark stand just behind the start of the clock, which is 0: a row
+    at 0 itself would count as late.
     """
     cfg = cfg or ProcessorConfig()
-    clock = F.timestamp_millis(F.coalesce("routed_watermark", F.lit(0).cast("bigint")))
+    start = F.lit(1).cast("bigint")
+    clock = F.timestamp_millis(F.greatest(F.col("routed_watermark"), start))
     clocked = rows.withColumn("event_ts", clock).withWatermark("event_ts", _CLOCK_SLACK)
     return clocked.groupBy("transaction_id").transformWithState(
         DedupProcessor(cfg.dedup_ttl_ms, cfg.lateness_ms),

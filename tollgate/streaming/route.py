@@ -79,7 +79,9 @@ def _write_outputs(
     _write_once(valid, f"{root}/valid/batch_id={batch_id}")
     _write_once(dead, f"{root}/dlq/batch_id={batch_id}")
     keys = ["source_topic", "source_partition"]
-    here = good.groupBy(*keys).agg(F.max("event_time").alias("high"))
+    # a partition that appears later starts at the watermark, which so never goes back
+    high = F.greatest(F.max("event_time"), mark + cfg.watermark_ms)
+    here = good.groupBy(*keys).agg(high.alias("high"))
     marks = before.unionByName(here).groupBy(*keys).agg(F.max("high").alias("high"))
     _write_once(marks.coalesce(1), f"{root}/marks/batch_id={batch_id}")
 
