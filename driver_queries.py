@@ -469,7 +469,12 @@ def _lateness(spark, sf_dir):
     )
 
 
-ALL_DEAD = sql.with_(PLAIN, LATE, FRAMES) + """
+# Rows that do not decode have no event time: they move no watermark and are not late as well.
+DECODED_ROWS = """sound AS (
+  SELECT txn.* FROM txn ANTI JOIN (SELECT * FROM fr WHERE decode_error IS NOT NULL) bad
+  USING (source_topic, source_partition, source_offset))"""
+DECODED_LATE = LATE.replace("FROM txn", "FROM sound")
+ALL_DEAD = sql.with_(PLAIN, FRAMES, DECODED_ROWS, DECODED_LATE) + """
 SELECT source_topic, source_partition, source_offset, CAST(NULL AS VARCHAR) AS transaction_id,
   'SCHEMA_VALIDATION_ERROR' AS error_type, decode_error AS error_message,
   CAST(NULL AS BIGINT) AS watermark_at_rejection, CAST(NULL AS BIGINT) AS event_time_at_rejection
