@@ -85,6 +85,21 @@ def test_nearest(spark):
     assert [c for _, c in found[0]] == [3, 6, 9, 12, 15]
 
 
+def test_nearest_by_the_graph_alone(spark):
+    """Small start blocks, one table and a narrow beam: recall comes from rounds until convergence."""
+    vectors = np.random.default_rng(4).normal(size=(3000, 8)).astype(np.float32)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    docs = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    found = grouped(nearest(docs, degree=10, reverse=10, beam=10, expanded=4, tables=1, block_rows=20))
+    hits = 0
+    for q in range(0, len(vectors), 50):
+        sims = units @ units[q]
+        sims[q] = -2
+        hits += len(set(np.argsort(-sims)[:5].tolist()) & {c for _, c in found[q]})
+    assert hits >= 0.95 * 5 * len(found) and len(found) == 60
+
+
 @pytest.mark.parametrize("operator", [exact_top_k, nearest])
 def test_empty(spark, operator):
     assert operator(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -17,9 +17,8 @@ REVERSE = 20
 #: Random partitions that the graph starts from, and rows of one block of them, about.
 TABLES = 8
 BLOCK_ROWS = 1000
-ROUNDS = 3
-#: Updates that one node offers each of its neighbours in a round.
-OFFERS = 8
+#: The descent ends when a round renews at most this share of all edges.
+CONVERGED = 0.001
 BEAM = 400
 EXPANDED = 32
 SEED = 3
@@ -166,15 +165,16 @@ def neighbour_graph(
     reverse: int = REVERSE,
     tables: int = TABLES,
     block_rows: int = BLOCK_ROWS,
-    rounds: int = ROUNDS,
-    offers: int = OFFERS,
+    converged: float = CONVERGED,
 ) -> DataFrame:
     """NN-descent over rows (id, unit): edges (node, other, sim, fresh), `degree` a node.
 
     Random hyperplanes cut the rows into blocks of about block_rows; a larger block is divided by
     hash, so none is unbounded. Best neighbours inside the blocks of all tables are the first graph.
     Each round joins every node's forward and reverse neighbours with their vectors, compares new
-    ones with all others at that node, and keeps each vector's best.
+    ones with all others at that node, and keeps each vector's best. Rounds follow until at most the
+    share `converged` of all edges is fresh, however many that takes. A vector is offered the best
+    `degree` of one node's neighbours: more could not stay.
     """
     count = units.count()
     bits = max(0, math.ceil(math.log2(max(1, count / block_rows))))
@@ -187,7 +187,7 @@ def neighbour_graph(
     first = blocks.select("rows").mapInArrow(within_blocks(degree), EDGES).withColumn("fresh", F.lit(True))
     graph = store.keep(best_edges(first, degree), "graph")
     store.drop(coded)
-    for _ in range(rounds):
+    while graph.agg(F.avg(F.col("fresh").cast("double")).alias("share")).where(F.col("share") > converged).count():
         worst = graph.groupBy("node").agg(
             F.when(F.count("*") >= degree, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst")
         )
@@ -196,13 +196,11 @@ def neighbour_graph(
         member = F.struct(F.col("other").alias("id"), "unit", "worst", "fresh")
         joined = around(graph, reverse).join(known, "other")
         joined = joined.groupBy("node").agg(F.collect_list(member).alias("rows"))
-        news = joined.select("rows").mapInArrow(local_joins(offers), EDGES).withColumn("fresh", F.lit(True))
+        news = joined.select("rows").mapInArrow(local_joins(degree), EDGES).withColumn("fresh", F.lit(True))
         old = graph.withColumn("fresh", F.lit(False))
         better = store.keep(best_edges(old.unionByName(news), degree), "graph")
         store.drop(graph)
         graph = better
-        if graph.where("fresh").isEmpty():
-            break
     return graph
 
 
@@ -290,6 +288,9 @@ def nearest(
     reverse: int = REVERSE,
     beam: int = BEAM,
     expanded: int = EXPANDED,
+    tables: int = TABLES,
+    block_rows: int = BLOCK_ROWS,
+    converged: float = CONVERGED,
 ) -> DataFrame:
     """Each query's k nearest rows found by largest cosine: query_id, rank, vec_id, score.
 
@@ -317,7 +318,7 @@ def nearest(
     nodes = store.keep(nodes.withColumn("size", F.size("vector")), "nodes")
     units = nodes.select("id", unit(F.col("vector"), F.col("norm")).alias("unit"))
     units = store.keep(units.mapInArrow(pack_units, "id long, unit binary").dropDuplicates(["id"]), "units")
-    graph = neighbour_graph(store, units, degree, reverse)
+    graph = neighbour_graph(store, units, degree, reverse, tables, block_rows, converged)
 
     asked = rows.where(F.col("vec_id") % query_every == 0)
     named = asked.join(nodes.select("id", "vector"), "vector").select("vec_id", "id", "vector", "norm")
