@@ -67,14 +67,24 @@ def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return scramble((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words_of(data: np.ndarray, borders: np.ndarray, lower: bool = False) -> Words:
-    """Words are maximal runs of anything but space and U+0009-U+000D; lower folds A-Z only."""
+def folded(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return np.where((data >= 65) & (data <= 90), data | 32, data)
+
+
+def words_of(
+    data: np.ndarray, borders: np.ndarray, lower: bool = False, outside: np.ndarray = SPACES
+) -> Words:
+    """Words are maximal runs of bytes that are not outside: space and U+0009-U+000D by default.
+
+    lower folds A-Z only.
+    """
     if lower:
-        data = np.where((data >= 65) & (data <= 90), data | 32, data)
+        data = folded(data)
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), none, none, np.zeros(len(borders), np.int64))
-    inside = ~SPACES[data]
+    inside = ~outside[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
