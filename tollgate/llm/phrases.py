@@ -30,10 +30,12 @@ OUTSIDE[[9, 32]] = True
 #: Counters of a summary for each of mass / threshold: its error is below threshold / SLACK.
 SLACK = 4
 #: N-grams that one bucket holds on average, about, and that a task gathers before it sends them.
-BUCKET_MASS = 6_000_000
-SEND = 4_000_000
+BUCKET_MASS = 3_000_000
+SEND = 2_000_000
 #: Distinct n-grams a task of the second pass gathers before it sends their counts.
-SEND_COUNTS = 1_000_000
+SEND_COUNTS = 500_000
+#: Bytes of text whose n-grams are made at once.
+STEP_BYTES = 1_000_000
 
 SUMMARY = "bucket long, part int, mass long, single binary, several binary, times binary"
 
@@ -105,7 +107,11 @@ def identities(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def send(keys: np.ndarray, buckets: int):
     """Packed counts of keys by bucket: a row with the mass, part 0, and a row with the counters, part 1."""
-    found, counts = np.unique(identities(keys, buckets), return_counts=True)
+    found = identities(keys, buckets)
+    found.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(found), 1), bool), found[1:] != found[:-1])))
+    counts = np.diff(first, append=len(found))
+    found = found[first]
     own = (found >> np.uint64(32)).astype(np.int64)
     prints = found.astype(np.uint32)  # the lower half
     present, first = np.unique(own, return_index=True)
@@ -136,7 +142,7 @@ def count_grams(longest: int, buckets: int):
 
     def task(batches):
         held, size = [], 0
-        for rows, data, borders in text_steps(batches, "text"):
+        for rows, data, borders in text_steps(batches, "text", STEP_BYTES):
             grams = Grams(rows, data, borders, longest)
             held += [grams.keys(n)[0] for n in range(1, longest + 1)]
             size += sum(len(x) for x in held[-longest:])
@@ -230,7 +236,7 @@ def count_frequent(longest: int, buckets: int, known: KeyFilter):
     def task(batches):
         held: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
         size = 0
-        for rows, data, borders in text_steps(batches, "text"):
+        for rows, data, borders in text_steps(batches, "text", STEP_BYTES):
             grams = Grams(rows, data, borders, longest)
             counts = np.bincount(grams.codes[grams.row], minlength=len(grams.langs.dictionary))
             used = np.flatnonzero(counts)
