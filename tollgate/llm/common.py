@@ -30,17 +30,26 @@ def ready(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the jobs inside go when each job ends; the tables they write stay."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the jobs inside."""
     before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of the jobs inside go when each job ends; the tables they write stay."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession):
+    """Batches of at most 8 MB go to the Python tasks of the jobs inside, which hold much besides."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 class Store:
     """Intermediate tables in the shared folder, dropped when they are no longer needed."""
 

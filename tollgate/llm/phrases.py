@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import Store, text_steps
+from tollgate.llm.common import Store, small_batches, text_steps
 from tollgate.llm.keyfilter import KeyFilter
 from tollgate.llm.words import Words, folded, run_hashes, scramble, words_of
 
@@ -298,12 +298,14 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = T
     buckets = max(1, size * longest // 6 // BUCKET_MASS)
     dealt = texts.mapInArrow(count_grams(longest, buckets), SUMMARY).repartition("bucket")
     dealt = dealt.sortWithinPartitions("bucket", "part")
-    frequent = store.keep(dealt.mapInArrow(merge_summaries(threshold), "key long"), "frequent")
+    with small_batches(spark):
+        frequent = store.keep(dealt.mapInArrow(merge_summaries(threshold), "key long"), "frequent")
     counts = texts.mapInArrow(
         count_frequent(longest, buckets, KeyFilter(frequent)), "lang string, size int, phrase string, count long"
     )
     counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
-    kept = store.keep(counts.where((F.col("size") == 0) | (F.col("count") >= threshold)), "counts")
+    with small_batches(spark):
+        kept = store.keep(counts.where((F.col("size") == 0) | (F.col("count") >= threshold)), "counts")
     store.drop(frequent)
     return kept
 
