@@ -112,6 +112,31 @@ def within_blocks(degree: int):
     return run
 
 
+def compared(batches):
+    """Edges of rows (node, unit, other, other_unit)."""
+    for batch in batches:
+        nodes, others = (batch.column(i).to_numpy() for i in (0, 2))
+        pairs = zip(vectors_of(batch.column(1)), vectors_of(batch.column(3)), strict=True)
+        yield edges(nodes, others, np.array([a @ b for a, b in pairs], np.float32))
+
+
+def random_edges(units: DataFrame, graph: DataFrame, degree: int) -> DataFrame:
+    """Edges for nodes with fewer than `degree`, to the nodes of a random group of about 4 * degree.
+
+    Vectors of one length are dealt over groups by hash; with few of them there is one group. So every
+    node has `degree` neighbours, or all there are, whatever blocks it stood in.
+    """
+    sized = units.withColumn("size", F.length("unit"))
+    groups = sized.groupBy("size").agg(F.ceil(F.count("*") / (4 * degree)).alias("groups"))
+    dealt = sized.join(groups, "size").withColumn("group", F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("groups")))
+    counts = graph.groupBy("node").count().withColumnRenamed("node", "id")
+    short = dealt.join(counts, "id", "left").where(F.coalesce("count", F.lit(0)) < degree)
+    short = short.select(F.col("id").alias("node"), "unit", "size", "group")
+    others = dealt.select(F.col("id").alias("other"), F.col("unit").alias("other_unit"), "size", "group")
+    pairs = short.join(others, ["size", "group"]).where("node <> other")
+    return pairs.select("node", "unit", "other", "other_unit").mapInArrow(compared, EDGES)
+
+
 def local_joins(offers: int):
     """At each node, compare its neighbours with one another: each hears of the best it does not have.
 
@@ -170,7 +195,8 @@ def neighbour_graph(
     """NN-descent over rows (id, unit): edges (node, other, sim, fresh), `degree` a node.
 
     Random hyperplanes cut the rows into blocks of about block_rows; a larger block is divided by
-    hash, so none is unbounded. Best neighbours inside the blocks of all tables are the first graph.
+    hash, so none is unbounded. Best neighbours inside the blocks of all tables are the first graph;
+    a node that finds fewer than `degree` there gets random ones besides.
     Each round joins every node's forward and reverse neighbours with their vectors, compares new
     ones with all others at that node, and keeps each vector's best. Rounds follow until at most the
     share `converged` of all edges is fresh, however many that takes. A vector is offered the best
@@ -185,8 +211,10 @@ def neighbour_graph(
     salted = coded.join(large, key).withColumn("part", F.pmod(F.xxhash64("id", "number"), F.col("parts")))
     blocks = salted.groupBy(*key, "part").agg(F.collect_list(F.struct("id", "unit")).alias("rows"))
     first = blocks.select("rows").mapInArrow(within_blocks(degree), EDGES).withColumn("fresh", F.lit(True))
-    graph = store.keep(best_edges(first, degree), "graph")
-    store.drop(coded)
+    first = store.keep(best_edges(first, degree), "graph")
+    filled = random_edges(units, first, degree).withColumn("fresh", F.lit(True))
+    graph = store.keep(best_edges(first.unionByName(filled), degree), "graph")
+    store.drop(coded, first)
     while graph.agg(F.avg(F.col("fresh").cast("double")).alias("share")).where(F.col("share") > converged).count():
         worst = graph.groupBy("node").agg(
             F.when(F.count("*") >= degree, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst")
@@ -318,6 +346,7 @@ def nearest(
     nodes = store.keep(nodes.withColumn("size", F.size("vector")), "nodes")
     units = nodes.select("id", unit(F.col("vector"), F.col("norm")).alias("unit"))
     units = store.keep(units.mapInArrow(pack_units, "id long, unit binary").dropDuplicates(["id"]), "units")
+    degree = max(degree, k)  # so that no query ends with fewer than k
     graph = neighbour_graph(store, units, degree, reverse, tables, block_rows, converged)
 
     asked = rows.where(F.col("vec_id") % query_every == 0)
