@@ -6,15 +6,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tollgate.config import SkewConfig  # noqa: E402
 from tollgate.session import local_session  # noqa: E402
 
-T0 = 1_767_225_600_000
-SF = "/root/testdata/sf0.001"
-# Every group with more than two rows is hot, so each hot path runs on small data.
-HOT = SkewConfig(hot_rows=2, hot_share=0.0, block_rows=3, salts=4)
-SKEWS = [SkewConfig(), HOT]
-
 ROW_SCHEMA = (
     "transaction_id string, account_id string, api_key_id string, event_time bigint, "
     "amount decimal(18,4), source_partition int, source_offset bigint"

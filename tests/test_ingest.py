@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import T0
+from support import T0
 from pyspark.sql import functions as F
 
 from tollgate.config import IngestConfig, MaskingConfig

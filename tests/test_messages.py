@@ -4,7 +4,7 @@ import json
 import struct
 
 import pytest
-from conftest import SF, T0
+from support import SF, T0
 from pyspark.sql import functions as F
 
 import driver_tables as tables

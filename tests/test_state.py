@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import HOT, SKEWS, T0
+from support import HOT, SKEWS, T0
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

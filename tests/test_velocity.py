@@ -2,7 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import SKEWS, T0
+from support import SKEWS, T0
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
