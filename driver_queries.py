@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import driver_sql as sql
 import driver_tables as tables
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +19,10 @@ from tollgate.operators import enrich as enr
 from tollgate.operators import geo as geo_op
 from tollgate.operators import velocity as vel
 from tollgate.plans.enrichment import enrich
-from tollgate.session import fresh_path, state_settings
+from tollgate.session import fresh_path, ship_package, state_settings
 from tollgate.sources import event_log, generator
-from tollgate.streaming.enrich import read_valid, start_enrich
+from tollgate.streaming.commits import Commits
+from tollgate.streaming.enrich import read_valid, start_enrich, stream_dedup
 from tollgate.streaming.progress import progress_frame
 from tollgate.streaming.route import start_route
 
@@ -1055,7 +1057,128 @@ def _stream_enrich(spark, sf_dir):
                 F.col("processing_time") + 25,
                 once=True,
             ).awaitTermination()
-    return spark.read.parquet(f"{root}/out").select(*schemas.ENRICHED.fieldNames())
+    return Commits(spark, f"{root}/out").read("enriched", schemas.ENRICHED)
+
+
+LARGE = "CASE WHEN event_id % 11 = 0 THEN CAST(60000000000000 AS DECIMAL(18,4)) ELSE CAST(value AS DECIMAL(18,4)) END"
+TOO_LARGE = " ".join(
+    f"WHEN vel_amount_{label} > 99999999999999.9999 THEN 'vel_amount_{label} exceeds its contract type'"
+    for label, _ in sql.WINDOWS
+)
+
+
+@register(
+    "stream_replay_after_crash",
+    sql.with_(
+        STREAM_TXN.replace("CAST(value AS DECIMAL(18,4))", LARGE),
+        NEAR_FIRST,
+        sql.bucket_velocity("uniq").replace("AS DECIMAL(18,4)) AS vel", "AS DECIMAL(38,4)) AS vel"),
+    )
+    + f"SELECT transaction_id, source_offset, CASE {TOO_LARGE} END AS letter, CASE WHEN (CASE {TOO_LARGE} END) "
+    "IS NULL THEN CAST(vel_amount_24h AS DOUBLE) END AS vel_amount_24h FROM vel",
+)
+def _stream_replay_after_crash(spark, sf_dir):
+    """Records and overflow letters of a stream that dies twice in the commit of its second batch.
+
+    First between the writes of records and letters, then between their publications. Every run after
+    a crash replays that batch from the checkpoint; each row comes out once.
+    """
+    rows = tables.transactions(spark, sf_dir, repeats=tables.NEAR_REPEATS, late=False)
+    large = F.substring_index("transaction_id", "-", -1).cast("long") % 11 == 0
+    rows = rows.withColumn("amount", F.when(large, 60_000_000_000_000).otherwise(F.col("amount")).cast("decimal(18,4)"))
+    root, cut = fresh_path(spark, "crash"), _half(spark, sf_dir)
+    stages = [(F.col("source_offset") < cut, [None])]
+    stages.append((F.col("source_offset") >= cut, ["staged enriched", "published enriched", None]))
+    for part, crashes in stages:
+        rows.where(part).write.mode("append").parquet(f"{root}/in/valid")
+        for crash in crashes:
+            with state_settings(spark):
+                query = start_enrich(
+                    read_valid(spark, f"{root}/in", STREAM_CFG),
+                    f"{root}/out",
+                    f"{root}/checkpoint",
+                    tables.blocks(spark),
+                    STREAM_CFG,
+                    F.col("processing_time") + 25,
+                    once=True,
+                    reached=_dies_at(crash),
+                )
+                try:
+                    query.awaitTermination()
+                except StreamingQueryException as error:
+                    if crash is None or crash not in str(error):
+                        raise
+    done = Commits(spark, f"{root}/out")
+    records = done.read("enriched", schemas.ENRICHED)
+    letters = done.read("dlq", schemas.PROC_DLQ)
+    offsets = rows.select("transaction_id", "source_offset")
+    name = F.get_json_object(F.col("original_payload_bytes").cast("string"), "$.transaction_id")
+    letters = letters.select(
+        name.alias("transaction_id"), "source_offset", F.col("error_message").alias("letter"),
+        F.lit(None).cast("double").alias("vel_amount_24h"),
+    )
+    first = offsets.groupBy("transaction_id").agg(F.min("source_offset").alias("source_offset"))
+    good = records.join(first, "transaction_id").select(
+        "transaction_id", "source_offset", F.lit(None).cast("string").alias("letter"),
+        F.col("vel_amount_24h").cast("double").alias("vel_amount_24h"),
+    )
+    return good.unionByName(letters)
+
+
+def _dies_at(step: str | None):
+    def reached(name: str) -> None:
+        if name == step:
+            raise RuntimeError(f"stopped by the query at: {name}")
+
+    return reached
+
+
+#: Arrivals of each event's id: hours by which copy number `copy` is moved; every id has its own pattern.
+RETURNS = 9
+MOVED = "(event_id * 7 + copy * copy * 29 + copy * 60) % 200"
+
+
+@register(
+    "stream_dedup_returns",
+    f"""WITH RECURSIVE arrivals AS (
+  SELECT event_id, copy + 1 AS arrival, epoch_us(ts) // 1000 + {MOVED} * {tables.HOUR_MS} AS event_time
+  FROM (SELECT event_id, ts, unnest(range({RETURNS})) AS copy FROM events)
+), chain AS (
+  SELECT event_id, CAST(0 AS BIGINT) AS arrival, CAST([] AS BIGINT[]) AS kept FROM events
+  UNION ALL
+  SELECT a.event_id, a.arrival, CASE WHEN len(list_filter(c.kept, lambda k: abs(k - a.event_time) < {48 * tables.HOUR_MS})) > 0
+    THEN c.kept ELSE list_append(c.kept, a.event_time) END
+  FROM chain c JOIN arrivals a ON a.event_id = c.event_id AND a.arrival = c.arrival + 1
+)
+SELECT 'txn-' || event_id AS transaction_id, unnest(kept) AS event_time FROM chain WHERE arrival = {RETURNS}""",
+)
+def _stream_dedup_returns(spark, sf_dir):
+    """Copies of every id that come back earlier and later than those before, over two runs."""
+    copies = tables.read(spark, sf_dir, "events").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(RETURNS - 1))))
+    rows = copies.select(
+        F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        (tables.epoch_ms(F.col("ts")) + F.expr(MOVED) * tables.HOUR_MS).alias("event_time"),
+        F.lit("txn.api").alias("source_topic"),
+        F.lit(0).alias("source_partition"),
+        (F.col("event_id") * RETURNS + F.col("copy")).alias("source_offset"),
+        "copy",
+    )
+    # the watermark under which the second run's rows were routed: none of them is behind it
+    lowest = rows.where(F.col("copy") >= 5).agg(F.min("event_time")).first()[0]
+    root = fresh_path(spark, "returns")
+    ship_package(spark)
+    for part, watermark in ((F.col("copy") < 5, None), (F.col("copy") >= 5, lowest)):
+        mark = F.lit(watermark).cast("bigint").alias("routed_watermark")
+        rows.where(part).drop("copy").select("*", mark).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(
+            "transaction_id string, event_time bigint, source_topic string, source_partition int, "
+            "source_offset bigint, routed_watermark bigint"
+        ).parquet(f"{root}/in")
+        with state_settings(spark):
+            writer = stream_dedup(stream, STREAM_CFG).writeStream.format("parquet").outputMode("append")
+            writer = writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+            writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("transaction_id", "event_time")
 
 
 @register(

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 import driver_tables as tables
 from tollgate import schemas
 from tollgate.config import DAY_MS, ProcessorConfig
-from tollgate.session import fresh_path, ship_package, state_settings
+from tollgate.session import fresh_path, path_exists, ship_package, state_settings
 from tollgate.sources import event_log
+from tollgate.streaming.commits import Commits
 from tollgate.streaming.enrich import stream_dedup, stream_device, stream_velocity
 from tollgate.streaming.progress import ProgressLog, progress_frame, watermark_age
 from tollgate.streaming.route import route_batch, start_route
@@ -105,6 +106,13 @@ def test_stream_dedup_accepts_returns_and_slow_partitions(spark):
     assert times["slow"] == [T0 - 90 * hour] and len(times["future"]) == len(times["u"]) == 1
 
 
+def test_stream_dedup_drops_copies_of_an_early_row_after_a_later_one(spark):
+    hour = 3_600_000
+    rows = [("t", "a", "k", T0 + h * hour, h) for h in (60, 0, 0, 0, 10, 12, 60, 108, 107)]
+    for batches in ([rows], [rows[:1], rows[1:2], rows[2:]], [[row] for row in rows[:5]] + [rows[5:]]):
+        assert kept_times(spark, batches)["t"] == [T0, T0 + 60 * hour, T0 + 108 * hour]
+
+
 def routed(df):
     """Rows as the route query accepts them: the slowest row is 90 hours back, the watermark behind it."""
     names = {"source_topic": F.lit("txn"), "routed_watermark": F.col("event_time") * 0 + T0 - 4 * DAY_MS}
@@ -118,17 +126,60 @@ def kept_times(spark, batches):
     return {name: sorted(found) for name, found in times.items()}
 
 
-def test_crash_between_outputs_keeps_what_a_reader_may_have(spark):
+def contents(spark, root):
+    """Rows of the three outputs; letters without the time at which an attempt wrote them."""
+    sides = [spark.read.parquet(f"{root}/{side}") for side in ("valid", "dlq", "marks")]
+    sides[1] = sides[1].select("dlq_id", "error_type", "error_message")
+    return [sorted(map(str, side.collect())) for side in sides]
+
+
+STEPS = [f"{what} {output}" for what in ("staged", "published") for output in ("valid", "dlq", "marks")]
+
+
+@pytest.mark.parametrize("step", [*STEPS, "intended", "committed"])
+def test_crash_at_each_step_of_a_commit(spark, step):
+    """Whatever an attempt left behind, readers see each row once, and files they have stay."""
     root, cfg = fresh_path(spark, "test-route"), ProcessorConfig()
     log = tables.log_records(tables.transactions(spark, SF, repeats=[]))
     route_batch(log, 0, root, cfg)
-    files = sorted(spark.read.parquet(f"{root}/valid").inputFiles())
+    want = contents(spark, root)
+
+    def dies(name):
+        if name == step:
+            raise RuntimeError(name)
+
     crashed = fresh_path(spark, "test-route")
-    spark.read.parquet(f"{root}/valid/batch_id=0").write.parquet(f"{crashed}/valid/batch_id=0")
-    before = sorted(spark.read.parquet(f"{crashed}/valid").inputFiles())
+    with pytest.raises(RuntimeError):
+        route_batch(log, 0, crashed, cfg, reached=dies)
+    done = Commits(spark, crashed)
+    published = [side for side in ("valid", "dlq", "marks") if path_exists(spark, f"{crashed}/{side}/batch_id=0")]
+    before = {side: sorted(spark.read.parquet(f"{crashed}/{side}").inputFiles()) for side in published}
+    schema = spark.read.parquet(f"{root}/valid").drop("batch_id").schema
+    assert done.read("valid", schema).count() == (len(want[0]) if step == "committed" else 0)
+    route_batch(log, 0, crashed, cfg)
     route_batch(log, 0, crashed, cfg)
-    assert files and sorted(spark.read.parquet(f"{crashed}/valid").inputFiles()) == before
-    assert spark.read.parquet(f"{crashed}/dlq").count() == spark.read.parquet(f"{root}/dlq").count()
+    assert contents(spark, crashed) == want and done.read("valid", schema).count() == len(want[0])
+    assert all(sorted(spark.read.parquet(f"{crashed}/{side}").inputFiles()) == files for side, files in before.items())
+    assert not path_exists(spark, f"{crashed}/attempts/batch_id=0") or step == "committed"
+
+
+def test_of_two_attempts_one_is_taken(spark):
+    """A second attempt runs while the first is between its outputs and its intent."""
+    root = fresh_path(spark, "test-commits")
+
+    def outputs(low):
+        return lambda: {"a": spark.range(low, low + 5), "b": spark.range(low, low + 3)}
+
+    def other(name):
+        if name == "staged b":
+            assert Commits(spark, root).commit(4, outputs(100))
+
+    assert Commits(spark, root, other).commit(4, outputs(0))
+    found = Commits(spark, root)
+    schema = spark.range(1).schema
+    assert sorted(r.id for r in found.read("a", schema).collect()) == list(range(100, 105))
+    assert sorted(r.id for r in found.read("b", schema).collect()) == list(range(100, 103))
+    assert not found.commit(4, outputs(200)) and found.read("a", schema).count() == 5
 
 
 def test_missing_watermark_of_an_earlier_batch_is_an_error(spark):

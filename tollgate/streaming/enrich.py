@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from tollgate.operators.enrich import assemble, split_overflow
 from tollgate.operators.geo import geolocate
 from tollgate.schemas import DECODED, DEVICE, SOURCE, VELOCITY
 from tollgate.session import ship_package
+from tollgate.streaming.commits import Commits
 from tollgate.streaming.processors import (
     NO_DEVICE_PREFIX,
     DedupProcessor,
@@ -41,7 +44,7 @@ def read_valid(spark: SparkSession, root: str, cfg: ProcessorConfig) -> DataFram
 
 
 def stream_dedup(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFrame:
-    """Drop rows within the ttl of their id's last accepted row. Adds ``event_ts``, the clock.
+    """Drop rows less than the ttl from an accepted row of their id. Adds ``event_ts``, the clock.
 
     The clock of the query is the watermark by which the route query accepted a row, not the row's
     own time: it never outruns acceptance, so a slow partition or a row from the future loses nothing.
@@ -105,19 +108,22 @@ def write_batch(
     blocks: DataFrame,
     cfg: ProcessorConfig,
     enrichment_time: Column | None = None,
+    reached: Callable[[str], None] | None = None,
 ) -> None:
-    """Finish and store one micro-batch under its own partition: a replay replaces it whole."""
+    """Finish one micro-batch and commit its records and its dead letters together, once."""
     batch = batch.persist()
-    try:
+
+    def outputs() -> dict[str, DataFrame]:
         placed = geolocate(batch, blocks, cfg.skew, cfg.geo_confidence)
         good, letters = split_overflow(
             placed, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
         )
-        assemble(good, cfg, enrichment_time).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
-        # next to the records, not below them: a reader of the records sees no letters
-        letters.write.mode("overwrite").parquet(f"{path.rstrip('/')}-dlq/batch_id={batch_id}")
+        return {"enriched": assemble(good, cfg, enrichment_time), "dlq": letters}
+
+    try:
+        if not Commits(batch.sparkSession, path, reached).commit(batch_id, outputs):
+            # an earlier attempt's outputs stand, but the state of this batch has to be written still
+            batch.write.format("noop").mode("overwrite").save()
     finally:
         batch.unpersist()
 
@@ -130,8 +136,9 @@ def start_enrich(
     cfg: ProcessorConfig | None = None,
     enrichment_time: Column | None = None,
     once: bool = False,
+    reached: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
-    """Start enriching a stream of valid rows into ``path``, dead letters into ``path``-dlq."""
+    """Start enriching a stream of valid rows into ``path``/enriched, dead letters into ``path``/dlq."""
     cfg = cfg or ProcessorConfig()
     ship_package(rows.sparkSession)
     writer = (
@@ -140,7 +147,9 @@ def start_enrich(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(
-            lambda batch, batch_id: write_batch(batch, batch_id, path, blocks, cfg, enrichment_time)
+            lambda batch, batch_id: write_batch(
+                batch, batch_id, path, blocks, cfg, enrichment_time, reached
+            )
         )
     )
     writer = (

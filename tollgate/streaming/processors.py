@@ -22,6 +22,7 @@ NO_DEVICE_PREFIX = "__no_device__"
 _BUCKET_KEY = T.StructType([T.StructField("bucket", T.LongType())])
 _WIDE = T.DecimalType(38, 4)
 _BUCKET_VALUE = T.StructType([T.StructField("cnt", T.LongType()), T.StructField("amount", _WIDE)])
+_SLOT = T.StructType([T.StructField("slot", T.LongType())])
 _ACCEPTED = T.StructType([T.StructField("event_time", T.LongType())])
 _PROFILE = T.StructType(
     [
@@ -41,10 +42,14 @@ def _fitting(value, limit):
 
 
 class DedupProcessor(StatefulProcessor):
-    """Drops a row within the ttl of its id's last accepted row, in either direction of time.
+    """Drops a row less than the ttl from an accepted row of its id, earlier or later.
+
+    Accepted times lie the ttl apart at least, so a slot of the ttl's length holds one at most, and
+    a row need only be compared with those of its own slot and of the two beside it.
 
     The event-time clock of the query is the routed watermark, so no row that can still come lies
-    more than the allowed lateness behind it: until then an id is remembered.
+    more than the allowed lateness behind it: until then a time is remembered. The one timer of an
+    id is that of its earliest time.
     """
 
     def __init__(self, ttl_ms: int, lateness_ms: int) -> None:
@@ -52,23 +57,38 @@ class DedupProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._accepted = handle.getValueState("accepted", _ACCEPTED)
+        self._accepted = handle.getMapState("accepted", _SLOT, _ACCEPTED)
 
     def handleInputRows(self, key, rows, timerValues):
-        last = self._accepted.get()[0] if self._accepted.exists() else None
-        before = last
+        accepted = {slot[0]: time[0] for slot, time in self._accepted.iterator()}
+        first = min(accepted.values(), default=None)
         for row in sorted(rows, key=lambda r: (r.source_topic, r.source_partition, r.source_offset)):
-            if last is None or abs(row.event_time - last) >= self._ttl_ms:
-                last = row.event_time if last is None else max(last, row.event_time)
+            slot = row.event_time // self._ttl_ms
+            near = (accepted.get(beside) for beside in (slot - 1, slot, slot + 1))
+            if all(time is None or abs(row.event_time - time) >= self._ttl_ms for time in near):
+                accepted[slot] = row.event_time
+                self._accepted.updateValue((slot,), (row.event_time,))
                 yield row
-        if last != before:
-            if before is not None:
-                self._handle.deleteTimer(before + self._ttl_ms + self._lateness_ms)
-            self._accepted.update((last,))
-            self._handle.registerTimer(last + self._ttl_ms + self._lateness_ms)
+        self._move_timer(first, min(accepted.values()))
+
+    def _move_timer(self, old, new) -> None:
+        if old != new:
+            if old is not None:
+                self._handle.deleteTimer(self._end(old))
+            if new is not None:
+                self._handle.registerTimer(self._end(new))
+
+    def _end(self, time: int) -> int:
+        return time + self._ttl_ms + self._lateness_ms
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self._accepted.clear()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        accepted = {slot[0]: time[0] for slot, time in self._accepted.iterator()}
+        for slot, time in accepted.items():
+            if self._end(time) <= now:
+                self._accepted.removeKey((slot,))
+        left = [time for time in accepted.values() if self._end(time) > now]
+        self._move_timer(None, min(left, default=None))
         return iter([])
 
     def close(self) -> None:

@@ -7,6 +7,8 @@ partitions, less the out-of-order allowance.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tollgate.config import ProcessorConfig
 from tollgate.operators.dlq import late_events, schema_failures, stable_id, union_failures
 from tollgate.operators.frame import decode
-from tollgate.session import path_exists
+from tollgate.streaming.commits import Commits
 
 _MARKS = "source_topic string, source_partition int, high bigint"
 
@@ -23,46 +25,40 @@ def _high_marks(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """Highest event time per source partition after a batch: one small file per batch."""
     if batch_id < 0:
         return spark.createDataFrame([], _MARKS)
-    path = f"{root}/marks/batch_id={batch_id}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    if not Commits(spark, root).done(batch_id):
         raise FileNotFoundError(f"no watermark of batch {batch_id} under {root}/marks")
-    return spark.read.schema(_MARKS).parquet(path)
-
-
-def _write_once(df: DataFrame, path: str) -> None:
-    """Write an output of a batch unless an earlier attempt finished it: a reader may have its files."""
-    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
-        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(_MARKS).parquet(f"{root}/marks/batch_id={batch_id}")
 
 
 def route_batch(
-    log: DataFrame, batch_id: int, root: str, cfg: ProcessorConfig, body: str = "json"
+    log: DataFrame,
+    batch_id: int,
+    root: str,
+    cfg: ProcessorConfig,
+    body: str = "json",
+    reached: Callable[[str], None] | None = None,
 ) -> None:
-    """Route one micro-batch. A replay of a finished batch changes nothing.
+    """Route one micro-batch. Its outputs are committed together; a replay changes nothing.
 
     The watermark of a batch comes from the files of the batch before, so a replay of an
     unfinished batch routes exactly as the first attempt did.
     """
     spark = log.sparkSession
-    if path_exists(spark, f"{root}/marks/batch_id={batch_id}/_SUCCESS"):
+    commits = Commits(spark, root, reached)
+    if commits.done(batch_id):
         return
     before = _high_marks(spark, root, batch_id - 1)
     watermark = before.agg((F.min("high") - cfg.watermark_ms).alias("watermark")).first()[0]
     decoded = decode(log, body, cfg.expected_schema_id).persist()
     try:
-        _write_outputs(decoded, before, watermark, batch_id, root, cfg)
+        commits.commit(batch_id, lambda: _outputs(decoded, before, watermark, cfg))
     finally:
         decoded.unpersist()
 
 
-def _write_outputs(
-    decoded: DataFrame,
-    before: DataFrame,
-    watermark: int | None,
-    batch_id: int,
-    root: str,
-    cfg: ProcessorConfig,
-) -> None:
+def _outputs(
+    decoded: DataFrame, before: DataFrame, watermark: int | None, cfg: ProcessorConfig
+) -> dict[str, DataFrame]:
     mark = F.lit(watermark).cast("bigint")
     late = F.coalesce(F.col("event_time") < mark - cfg.lateness_ms, F.lit(False))
     good = (
@@ -76,14 +72,12 @@ def _write_outputs(
         schema_failures(decoded, dlq_id=stable_id(F.lit("schema"))),
         late_events(good, cfg.lateness_ms, dlq_id=stable_id(F.lit("late"))),
     )
-    _write_once(valid, f"{root}/valid/batch_id={batch_id}")
-    _write_once(dead, f"{root}/dlq/batch_id={batch_id}")
     keys = ["source_topic", "source_partition"]
     # a partition that appears later starts at the watermark, which so never goes back
     high = F.greatest(F.max("event_time"), mark + cfg.watermark_ms)
     here = good.groupBy(*keys).agg(high.alias("high"))
     marks = before.unionByName(here).groupBy(*keys).agg(F.max("high").alias("high"))
-    _write_once(marks.coalesce(1), f"{root}/marks/batch_id={batch_id}")
+    return {"valid": valid, "dlq": dead, "marks": marks.coalesce(1)}
 
 
 def start_route(
@@ -93,13 +87,14 @@ def start_route(
     cfg: ProcessorConfig | None = None,
     body: str = "json",
     once: bool = False,
+    reached: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
-    """Start routing a log stream into ``root``/valid, /dlq and /marks."""
+    """Start routing a log stream into ``root``/valid, /dlq and /marks, with a commit for each batch."""
     cfg = cfg or ProcessorConfig()
     writer = (
         log.writeStream.queryName("route")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: route_batch(batch, batch_id, root, cfg, body))
+        .foreachBatch(lambda batch, batch_id: route_batch(batch, batch_id, root, cfg, body, reached))
     )
     writer = (
         writer.trigger(availableNow=True)
