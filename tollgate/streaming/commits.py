@@ -74,6 +74,11 @@ class Commits:
         rows = self._spark.read.schema(stored).parquet(f"{self._root}/{name}")
         return rows.join(manifests, _BATCH, "left_semi").select(*schema.fieldNames())
 
+    def remove(self, name: str, batch_id: int) -> None:
+        """Remove an output that no reader needs any more."""
+        folder = self._path(f"{self._root}/{name}/{_BATCH}={batch_id}")
+        folder.getFileSystem(self._conf).delete(folder, True)
+
     def _file(self, folder: str, batch_id: int) -> str:
         return f"{self._root}/{folder}/{batch_id:012d}.json"
 

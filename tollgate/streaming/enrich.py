@@ -1,27 +1,28 @@
-"""Second query: dedup, velocity, device as keyed state; geo and assembly per micro-batch."""
+"""Second query: dedup and device as keyed state; velocity, geo and assembly per micro-batch."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tollgate.config import ProcessorConfig
+from tollgate.config import DAY_MS, MINUTE_MS, ProcessorConfig
 from tollgate.operators.dlq import stable_id
 from tollgate.operators.enrich import assemble, split_overflow
 from tollgate.operators.geo import geolocate
-from tollgate.schemas import DECODED, DEVICE, SOURCE, VELOCITY
+from tollgate.schemas import DECODED, DEVICE, SOURCE
 from tollgate.session import ship_package
 from tollgate.streaming.commits import Commits
 from tollgate.streaming.processors import (
     NO_DEVICE_PREFIX,
     DedupProcessor,
     DeviceProcessor,
-    VelocityProcessor,
 )
+from tollgate.streaming.velocity import batch_velocity, joined_pieces, live_pieces, next_piece, read_pieces
 
 VALID = T.StructType(
     [*SOURCE.fields, *DECODED.fields, T.StructField("routed_watermark", T.LongType(), True)]
@@ -69,17 +70,6 @@ def _plus(schema: T.StructType, more: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
 
-def stream_velocity(rows: DataFrame) -> DataFrame:
-    """Velocity columns by keyed state, in arrival order."""
-    return rows.groupBy("account_id").transformWithState(
-        VelocityProcessor(),
-        _plus(rows.schema, VELOCITY),
-        outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName="event_ts",
-    )
-
-
 def stream_device(rows: DataFrame, idle_ms: int) -> DataFrame:
     """Device columns by keyed state. Rows without a device bypass the state."""
     api_key = F.col("api_key_id")
@@ -96,9 +86,9 @@ def stream_device(rows: DataFrame, idle_ms: int) -> DataFrame:
 
 
 def enriched_features(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFrame:
-    """The stateful part of the query."""
+    """The part of the query that is keyed state."""
     cfg = cfg or ProcessorConfig()
-    return stream_device(stream_velocity(stream_dedup(rows, cfg)), cfg.device_idle_ms)
+    return stream_device(stream_dedup(rows, cfg), cfg.device_idle_ms)
 
 
 def write_batch(
@@ -110,20 +100,32 @@ def write_batch(
     enrichment_time: Column | None = None,
     reached: Callable[[str], None] | None = None,
 ) -> None:
-    """Finish one micro-batch and commit its records and its dead letters together, once."""
+    """Finish one micro-batch; its records, dead letters and velocity state are committed together, once."""
     batch = batch.persist()
+    commits = Commits(batch.sparkSession, path, reached)
 
     def outputs() -> dict[str, DataFrame]:
-        placed = geolocate(batch, blocks, cfg.skew, cfg.geo_confidence)
+        if batch_id > 0 and not commits.done(batch_id - 1):
+            raise FileNotFoundError(f"no commit of batch {batch_id - 1} under {path}")
+        pieces = partial(read_pieces, batch.sparkSession, f"{path}/velocity")
+        clock, oldest = batch.agg(F.max("routed_watermark"), F.min("event_time")).first()
+        state = pieces(live_pieces(batch_id))
+        if oldest is not None:
+            state = state.where(F.col("minute") >= (oldest - DAY_MS) // MINUTE_MS)
+        counted = batch_velocity(batch, state, cfg.skew)
+        piece = next_piece(batch, pieces(joined_pieces(batch_id)), clock, cfg.lateness_ms)
+        placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence)
         good, letters = split_overflow(
             placed, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
         )
-        return {"enriched": assemble(good, cfg, enrichment_time), "dlq": letters}
+        return {"enriched": assemble(good, cfg, enrichment_time), "dlq": letters, "velocity": piece}
 
     try:
-        if not Commits(batch.sparkSession, path, reached).commit(batch_id, outputs):
+        if not commits.commit(batch_id, outputs):
             # an earlier attempt's outputs stand, but the state of this batch has to be written still
             batch.write.format("noop").mode("overwrite").save()
+        for replaced in joined_pieces(batch_id):
+            commits.remove("velocity", replaced)
     finally:
         batch.unpersist()
 

@@ -1,4 +1,4 @@
-"""Keyed state: minute buckets per account and the profile per device.
+"""Keyed state: accepted times per transaction and the profile per device.
 
 The rows of one key in one micro-batch are handled together in arrival order, so state is read
 and written once per key and batch. The batch size options of the source bound their number.
@@ -6,22 +6,16 @@ and written once per key and batch. The batch size options of the source bound t
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from tollgate.config import DAY_MS, MINUTE_MS
-from tollgate.schemas import DEVICE, VELOCITY_WINDOWS
+from tollgate.config import DAY_MS
+from tollgate.schemas import DEVICE
 
-RETENTION_MS = DAY_MS + 41_000
 IDLE_MS = 7 * DAY_MS
 NO_DEVICE_PREFIX = "__no_device__"
 
-_BUCKET_KEY = T.StructType([T.StructField("bucket", T.LongType())])
-_WIDE = T.DecimalType(38, 4)
-_BUCKET_VALUE = T.StructType([T.StructField("cnt", T.LongType()), T.StructField("amount", _WIDE)])
 _SLOT = T.StructType([T.StructField("slot", T.LongType())])
 _ACCEPTED = T.StructType([T.StructField("event_time", T.LongType())])
 _PROFILE = T.StructType(
@@ -33,7 +27,6 @@ _PROFILE = T.StructType(
     ]
 )
 _INT_MAX = 2**31 - 1
-_MONEY_MAX = Decimal("99999999999999.9999")
 
 
 def _fitting(value, limit):
@@ -95,57 +88,6 @@ class DedupProcessor(StatefulProcessor):
         pass
 
 
-class VelocityProcessor(StatefulProcessor):
-    """Adds the velocity columns. Buckets later than the row's own count too, as they arrived."""
-
-    def init(self, handle) -> None:
-        self._handle = handle
-        self._buckets = handle.getMapState("buckets", _BUCKET_KEY, _BUCKET_VALUE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        buckets = {k[0]: (v[0], v[1]) for k, v in self._buckets.iterator()}
-        changed, latest, current, totals = set(), 0, None, {}
-        for row in sorted(rows, key=lambda r: (r.source_partition, r.source_offset)):
-            own = row.event_time // MINUTE_MS
-            if own != current:
-                current = own
-                for label, minutes in VELOCITY_WINDOWS:
-                    seen = [v for b, v in buckets.items() if b >= own - minutes]
-                    amount = sum((v[1] for v in seen), Decimal(0))
-                    totals[label] = (sum(v[0] for v in seen), amount)
-            count, amount = buckets.get(own, (0, Decimal(0)))
-            buckets[own] = (count + 1, amount + row.amount)
-            changed.add(own)
-            latest = max(latest, row.event_time)
-            features = {}
-            for label, _ in VELOCITY_WINDOWS:
-                count, amount = totals[label]
-                totals[label] = (count + 1, amount + row.amount)
-                features[f"vel_count_{label}"] = _fitting(count + 1, _INT_MAX)
-                features[f"vel_amount_{label}"] = _fitting(amount + row.amount, _MONEY_MAX)
-            yield Row(**row.asDict(), **features)
-        for bucket in changed:
-            self._buckets.updateValue((bucket,), buckets[bucket])
-        # no window of a row that can still come reaches buckets a day and more behind the watermark
-        oldest = (timerValues.getCurrentWatermarkInMs() - RETENTION_MS) // MINUTE_MS
-        for bucket in [b for b in buckets if b < oldest]:
-            if self._buckets.containsKey((bucket,)):
-                self._buckets.removeKey((bucket,))
-        # one timer per account, moved forward with its latest row
-        for timer in list(self._handle.listTimers()):
-            latest = max(latest, timer - RETENTION_MS)
-            self._handle.deleteTimer(timer)
-        self._handle.registerTimer(latest + RETENTION_MS)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # the latest row is a day and more behind the watermark: no window reaches its bucket again
-        self._buckets.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
 class DeviceProcessor(StatefulProcessor):
     """Adds the device columns; a profile idle for longer than the limit starts anew."""
 
