@@ -158,17 +158,37 @@ def _same_account(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, F.col("account_id").eqNullSafe(F.col("_account")), how)
 
 
-def _chunks_before(partials: DataFrame) -> DataFrame:
-    """For every chunk of a hot account the minute totals of the chunks before it."""
-    minutes = _renamed(partials.select("account_id", "minute").distinct())
-    every = _same_account(partials.select("account_id", "_chunk").distinct(), minutes, "inner").drop("_account")
-    none = F.lit(None)
-    every = every.select("*", none.cast("bigint").alias("cnt"), none.cast("decimal(38,4)").alias("amount"))
-    order = Window.partitionBy("account_id", "minute").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {c: F.sum(c).over(order) for c in ("cnt", "amount")}
-    keys = ["account_id", "_chunk", "minute"]
-    every = every.unionByName(partials).groupBy(*keys).agg(F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"))
-    return every.select(*keys, *(value.alias(name) for name, value in sums.items())).where("cnt > 0")
+def _before_chunks(points: DataFrame, asked: DataFrame) -> DataFrame:
+    """What came before each chunk of a hot account, as totals that its windows see alike.
+
+    points (_account, _index, minute, cnt, amount): minute totals of chunks by their number, and of the
+    state as number 0. asked (_account, _index, from): the minutes from which windows of a chunk reach.
+    The chunks before number c are as many runs of 1, 2, 4, ... chunks as c has binary digits 1, so a
+    point and a question stand in a few runs each. In a run, totals from a minute on are a growing
+    sum over its minutes: the work grows with rows times the logarithm of chunks, not with chunks
+    times minutes. The differences of a chunk's answers are its totals.
+    """
+    chunks = points.agg(F.max("_index")).first()[0] or 0
+    level = F.explode(F.sequence(F.lit(0), F.lit(max(0, int(chunks).bit_length() - 1))))
+    run = F.expr("shiftright(_index, _level)")
+    run_key = ["_account", "_level", "_run"]
+    held = points.withColumn("_level", level).withColumn("_run", run).where("_run % 2 = 0")
+    held = held.groupBy(*run_key, "minute").agg(F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"))
+    queries = asked.withColumn("_level", level).withColumn("_run", run - 1).where("_run % 2 = 0")
+    nothing = [F.lit(0).cast("bigint").alias("cnt"), F.lit(0).cast("decimal(38,4)").alias("amount")]
+    once = queries.select(*run_key, F.col("from").alias("minute"), F.lit(True).alias("_asked"), *nothing).distinct()
+    growing = Window.partitionBy(*run_key).orderBy(F.desc("minute")).rangeBetween(Window.unboundedPreceding, 0)
+    both = held.withColumn("_asked", F.lit(False)).unionByName(once)
+    answers = both.select(*run_key, "_asked", F.col("minute").alias("from"),
+                          *(F.sum(c).over(growing).alias(c) for c in ("cnt", "amount"))).where("_asked")
+    totals = queries.join(answers.drop("_asked"), [*run_key, "from"]).groupBy("_account", "_index", "from").agg(
+        F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount")
+    )
+    ordered = Window.partitionBy("_account", "_index").orderBy("from")
+    return totals.select(
+        "_account", "_index", F.col("from").alias("minute"),
+        *((F.col(c) - F.coalesce(F.lead(c).over(ordered), F.lit(0))).alias(c) for c in ("cnt", "amount")),
+    ).where("cnt > 0")
 
 
 def batch_velocity(rows: DataFrame, state: DataFrame, skew: SkewConfig | None = None) -> DataFrame:
@@ -192,12 +212,27 @@ def batch_velocity(rows: DataFrame, state: DataFrame, skew: SkewConfig | None =
     minute = minute_of(F.col("event_time"))
     hot_partials = (
         marked.where(F.col("_chunk").isNotNull())
-        .groupBy("account_id", "_chunk", minute.alias("minute"))
+        .groupBy(F.struct("account_id").alias("_account"), "_chunk", minute.alias("minute"))
         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("amount").cast("decimal(38,4)").alias("amount"))
     )
-    chunks = _renamed(hot_partials.select("account_id", "_chunk").distinct())
-    past = _same_account(needed, chunks, "left").select("account_id", "_chunk", "minute", "cnt", "amount")
-    past = past.unionByName(_chunks_before(hot_partials))
+    number = F.row_number().over(Window.partitionBy("_account").orderBy("_chunk"))
+    chunks = hot_partials.select("_account", "_chunk").distinct().withColumn("_index", number)
+    numbered = hot_partials.join(chunks, ["_account", "_chunk"])
+    of_hot = F.struct("account_id").alias("_account")
+    hot_state = needed.select(of_hot, F.lit(0).alias("_index"), "minute", "cnt", "amount").join(
+        chunks.select("_account").distinct(), "_account", "left_semi"
+    )
+    columns = ["_account", "_index", "minute", "cnt", "amount"]
+    reach = F.explode(F.array(*[F.col("minute") - back for back in _BACK]))
+    before = _before_chunks(
+        numbered.select(*columns).unionByName(hot_state.select(*columns)),
+        numbered.select("_account", "_index", reach.alias("from")).distinct(),
+    )
+    columns = ["account_id", "_chunk", "minute", "cnt", F.col("amount").cast("decimal(38,4)").alias("amount")]
+    before = before.join(chunks, ["_account", "_index"]).select("_account.account_id", *columns[1:])
+    cold = needed.join(chunks.select("_account").distinct(), F.struct("account_id") == F.col("_account"), "left_anti")
+    past = cold.withColumn("_chunk", F.lit(None).cast(marked.schema["_chunk"].dataType)).select(*columns)
+    past = past.unionByName(before.select(*columns))
     old = past.select(
         "account_id", "_chunk", F.lit(0).alias("_kind"), F.col("minute").alias("_minute"), F.col("cnt").alias("_cnt"),
         *_limbs(F.col("amount")), F.lit(None).cast(rows.schema).alias("_row"),
