@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import driver_sql as sql
 import driver_tables as tables
 from pyspark.errors import StreamingQueryException
@@ -1133,6 +1135,67 @@ def _dies_at(step: str | None):
     return reached
 
 
+#: Idle limit of the devices below: an event type of a user, some ten events in a month.
+SHORT_IDLE = 2 * sql.DAY
+
+
+def _device_batch_sql(number: int) -> str:
+    """Rows of one batch: their session of the rows before, and the earlier session begun after them."""
+    return f"""SELECT b.transaction_id, b.since AS device_first_seen,
+  CAST(b.counted + coalesce(CASE WHEN a.event_time - b.event_time <= {SHORT_IDLE} THEN a.rest END, 0) AS INTEGER)
+    AS device_txn_count
+FROM (
+  SELECT *, first_value(event_time) OVER w AS since, row_number() OVER w AS counted FROM (
+    SELECT *, sum(back) OVER (PARTITION BY device ORDER BY event_time, batch, event_id) AS spell FROM (
+      SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY device ORDER BY event_time, batch, event_id)
+        > {SHORT_IDLE} THEN 1 ELSE 0 END AS back FROM seen WHERE batch <= {number}
+  )) WINDOW w AS (PARTITION BY device, spell ORDER BY event_time, batch, event_id)
+) b ASOF LEFT JOIN (
+  SELECT device, event_time, sum(n) OVER (PARTITION BY device, spell ORDER BY event_time DESC) AS rest FROM (
+    SELECT *, sum(back) OVER (PARTITION BY device ORDER BY event_time) AS spell FROM (
+      SELECT device, event_time, count(*) AS n, CASE WHEN event_time - lag(event_time)
+        OVER (PARTITION BY device ORDER BY event_time) > {SHORT_IDLE} THEN 1 ELSE 0 END AS back
+      FROM seen WHERE batch < {number} GROUP BY 1, 2
+  ))
+) a ON a.device = b.device AND b.event_time < a.event_time
+WHERE b.batch = {number}"""
+
+
+@register(
+    "stream_device_sessions",
+    "WITH seen AS (SELECT 'txn-' || event_id AS transaction_id, event_id, event_id % 3 AS batch, "
+    "epoch_us(ts) // 1000 AS event_time, user_id || ' ' || event_type AS device FROM events)\n"
+    + "\nUNION ALL\n".join(f"SELECT * FROM ({_device_batch_sql(number)})" for number in range(3)),
+)
+def _stream_device_sessions(spark, sf_dir):
+    """Device history over three runs, each with events between those of the runs before."""
+    events = tables.read(spark, sf_dir, "events")
+    named = events.select(
+        F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        F.concat_ws(" ", F.col("user_id").cast("string"), "event_type").alias("device"),
+        (F.col("event_id") % 3).alias("batch"),
+    )
+    rows = tables.transactions(spark, sf_dir, repeats=[], late=False).join(named, "transaction_id")
+    rows = rows.withColumn("api_key_id", F.col("device"))
+    root = fresh_path(spark, "sessions")
+    cfg = replace(STREAM_CFG, device_idle_ms=SHORT_IDLE)
+    for number in range(3):
+        part = rows.where(F.col("batch") == number).drop("device", "batch")
+        part.write.mode("append").parquet(f"{root}/in/valid")
+        with state_settings(spark):
+            start_enrich(
+                read_valid(spark, f"{root}/in", cfg),
+                f"{root}/out",
+                f"{root}/checkpoint",
+                tables.blocks(spark),
+                cfg,
+                F.col("processing_time") + 25,
+                once=True,
+            ).awaitTermination()
+    records = Commits(spark, f"{root}/out").read("enriched", schemas.ENRICHED)
+    return records.select("transaction_id", "device_first_seen", "device_txn_count")
+
+
 #: Arrivals of each event's id: hours by which copy number `copy` is moved; every id has its own pattern.
 RETURNS = 9
 MOVED = "(event_id * 7 + copy * copy * 29 + copy * 60) % 200"

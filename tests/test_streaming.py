@@ -3,7 +3,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from support import SF, T0
+from support import SF, SKEWS, T0
 from pyspark.sql import functions as F
 
 import driver_tables as tables
@@ -13,7 +13,8 @@ from tollgate.session import fresh_path, path_exists, ship_package, state_settin
 from tollgate.sources import event_log
 from tollgate.streaming.commits import Commits
 from tollgate.config import SkewConfig
-from tollgate.streaming.enrich import stream_dedup, stream_device
+from tollgate.streaming.device import SEGMENTS, batch_device, next_segments
+from tollgate.streaming.enrich import stream_dedup
 from tollgate.streaming.velocity import FAN, PARTIALS, batch_velocity, joined_pieces, live_pieces, next_piece
 from tollgate.streaming.progress import ProgressLog, progress_frame, watermark_age
 from tollgate.streaming.route import route_batch, start_route
@@ -49,10 +50,6 @@ def run(spark, batches, build, rows=False):
     return found if rows else {r.transaction_id: r for r in found}
 
 
-def with_time(df):
-    return df.withColumn("event_ts", F.timestamp_millis("event_time")).withWatermark("event_ts", "48 hours")
-
-
 def simulate(batches):
     """Minute buckets by arrival: later buckets count too."""
     buckets, result = {}, {}
@@ -121,16 +118,88 @@ def test_old_minutes_leave_the_state(spark):
     assert sorted(r.minute for r in kept) == [minutes[1], T0 // 60_000]
 
 
-def test_device_state_and_idle_gap(spark):
-    batches = [
-        [("t0", "a", "k", T0, 1), ("t1", "a", "k", T0 + 5 * DAY_MS, 1), ("t2", "a", None, T0, 1)],
-        [("t3", "a", "k", T0 + 10 * DAY_MS, 1), ("t4", "a", "k", T0 + 30 * DAY_MS, 1), ("t5", "a", "", T0 + 9 * DAY_MS, 1)],
-    ]
-    found = run(spark, batches, lambda df: stream_device(with_time(df), 7 * DAY_MS))
-    got = {n: tuple(r[c] for c in schemas.DEVICE.fieldNames()) for n, r in found.items()}
-    assert got["t1"] == (T0, 2, False) and got["t3"] == (T0, 3, False)
-    assert got["t4"] == (T0 + 30 * DAY_MS, 1, False)
-    assert got["t2"] == got["t5"] == (None, None, None)
+def history_of(spark, batches, skew=None, idle_ms=7 * DAY_MS, clock=None, join=False):
+    """Device columns of rows (name, device, time) by batch; each batch adds a piece or replaces all."""
+    pieces, found = [], {}
+    for batch in batches:
+        data = [(name, "a", key, time, Decimal(1), 0, i) for i, (name, key, time) in enumerate(batch)]
+        frame = spark.createDataFrame(data, ROW).repartition(4)
+        state = spark.createDataFrame([row for piece in pieces for row in piece], SEGMENTS)
+        for row in batch_device(frame, state, skew, idle_ms).collect():
+            found[row.transaction_id] = tuple(row[c] for c in schemas.DEVICE.fieldNames())
+        nothing = spark.createDataFrame([], SEGMENTS)
+        if join:
+            pieces = [next_segments(frame, state, nothing, clock, 0, idle_ms).collect()]
+        else:
+            pieces.append(next_segments(frame, None, state, clock, 0, idle_ms).collect())
+    return found, [row for piece in pieces for row in piece]
+
+
+def sessions_by_hand(batches, idle_ms):
+    """A row's session is what the rows of earlier batches and those up to it in its own are chained to."""
+    before, found = {}, {}
+    for batch in batches:
+        for place, (name, key, time) in enumerate(batch):
+            if not key:
+                found[name] = (None, None, None)
+                continue
+            own = [t for i, (_, k, t) in enumerate(batch) if k == key and (t, i) <= (time, place)]
+            chain = sorted(before.get(key, []) + own)
+            at = chain.index(time)
+            low = high = at
+            while low > 0 and chain[low] - chain[low - 1] <= idle_ms:
+                low -= 1
+            while high + 1 < len(chain) and chain[high + 1] - chain[high] <= idle_ms:
+                high += 1
+            found[name] = (chain[low], high - low + 1, False)
+        for _, key, time in batch:
+            before.setdefault(key, []).append(time)
+    return found
+
+
+@pytest.mark.parametrize(
+    "idle_ms, skew, join", [(60_000, SKEWS[0], False), (3 * 3_600_000, SKEWS[1], True), (7 * DAY_MS, SKEWS[0], True)]
+)
+def test_device_sessions_over_batches_out_of_order(spark, idle_ms, skew, join):
+    """Sessions begin, meet and are bridged in any order; one device has a third of the rows."""
+    rng, batches = random.Random(idle_ms), []
+    for number in range(3):
+        keys = ["hot", rng.choice(["a", "b", "c", None, ""]), rng.choice(["d", "e"])]
+        span = 40 * idle_ms if number % 2 else 12 * idle_ms
+        steps = [0, 1, idle_ms - 1, idle_ms, idle_ms + 1]
+        batches.append([
+            (f"t{number}-{i}", keys[i % 3] if i % 3 == 0 else rng.choice([*"abcde", None, ""]),
+             T0 + rng.randrange(0, span, idle_ms) + rng.choice(steps))
+            for i in range(60)
+        ])
+    found, _ = history_of(spark, batches, skew, idle_ms, join=join)
+    assert found == sessions_by_hand(batches, idle_ms)
+
+
+def test_ended_sessions_leave_the_state_and_others_hold_them_together(spark):
+    day = DAY_MS
+    rows = spark.createDataFrame([("x", "a", "k", T0 + 30 * day, Decimal(1), 0, 1)], ROW)
+    replaced = [("k", T0 + d * day, T0 + d * day, 2) for d in (0, 10, 12)] + [("gone", T0, T0 + 5 * day, 9)]
+    replaced = spark.createDataFrame([*replaced, ("bridged", T0, T0 + day, 3), ("bridged", T0 + 14 * day, T0 + 14 * day, 1)], SEGMENTS)
+    others = spark.createDataFrame([("bridged", T0 + 7 * day, T0 + 25 * day, 4)], SEGMENTS)
+    kept = next_segments(rows, replaced, others, T0 + 30 * day, 0).collect()
+    assert sorted(map(tuple, kept)) == [("bridged", T0, T0 + 14 * day, 4), ("k", T0 + 30 * day, T0 + 30 * day, 1)]
+    everything = next_segments(rows, replaced, others, None, 0).collect()
+    assert sorted(r.cnt for r in everything) == [1, 2, 4, 4, 9]
+
+
+def test_five_devices_use_all_tasks(spark):
+    data = [(f"t{i}", "a", f"k{i % 5}", T0 + i * 60_000, Decimal(1), 0, i) for i in range(2000)]
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        state = spark.createDataFrame([("k1", T0 - 5, T0 - 5, 1)], SEGMENTS)
+        found = batch_device(spark.createDataFrame(data, ROW), state)
+        tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in tasks) < 2 * len(data) / len(tasks)
 
 
 def test_stream_dedup_over_restarts(spark):

@@ -1,4 +1,4 @@
-"""Second query: dedup and device as keyed state; velocity, geo and assembly per micro-batch."""
+"""Second query: dedup as keyed state; velocity, device, geo and assembly per micro-batch."""
 
 from __future__ import annotations
 
@@ -14,14 +14,11 @@ from tollgate.config import DAY_MS, MINUTE_MS, ProcessorConfig
 from tollgate.operators.dlq import stable_id
 from tollgate.operators.enrich import assemble, split_overflow
 from tollgate.operators.geo import geolocate
-from tollgate.schemas import DECODED, DEVICE, SOURCE
+from tollgate.schemas import DECODED, SOURCE
 from tollgate.session import ship_package
 from tollgate.streaming.commits import Commits
-from tollgate.streaming.processors import (
-    NO_DEVICE_PREFIX,
-    DedupProcessor,
-    DeviceProcessor,
-)
+from tollgate.streaming.device import SEGMENTS, batch_device, next_segments
+from tollgate.streaming.processors import DedupProcessor
 from tollgate.streaming.velocity import batch_velocity, joined_pieces, live_pieces, next_piece, read_pieces
 
 VALID = T.StructType(
@@ -29,8 +26,6 @@ VALID = T.StructType(
 )
 # How far files of one routed batch may trail the next one's; the clock of the query waits for them.
 _CLOCK_SLACK = "10 minutes"
-# Rows without a device need no state; they are spread over this many keys.
-_NO_DEVICE_KEYS = 64
 
 
 def read_valid(spark: SparkSession, root: str, cfg: ProcessorConfig) -> DataFrame:
@@ -58,39 +53,13 @@ def stream_dedup(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFra
     clocked = rows.withColumn("event_ts", clock).withWatermark("event_ts", _CLOCK_SLACK)
     return clocked.groupBy("transaction_id").transformWithState(
         DedupProcessor(cfg.dedup_ttl_ms, cfg.lateness_ms),
-        _plus(clocked.schema, T.StructType([])),
-        outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName="event_ts",
-    )
-
-
-def _plus(schema: T.StructType, more: T.StructType) -> T.StructType:
-    fields = [*schema.fields, *more.fields]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-
-
-def stream_device(rows: DataFrame, idle_ms: int) -> DataFrame:
-    """Device columns by keyed state. Rows without a device bypass the state."""
-    api_key = F.col("api_key_id")
-    spread = F.pmod(F.hash("transaction_id"), F.lit(_NO_DEVICE_KEYS)).cast("string")
-    key = F.when(api_key.isNull() | (api_key == ""), F.concat(F.lit(NO_DEVICE_PREFIX), spread))
-    keyed = rows.withColumn("_device", key.otherwise(api_key))
-    return keyed.groupBy("_device").transformWithState(
-        DeviceProcessor(idle_ms),
-        _plus(keyed.schema, DEVICE),
+        T.StructType([T.StructField(f.name, f.dataType, True) for f in clocked.schema.fields]),
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName="event_ts",
     )
 
 
-def enriched_features(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFrame:
-    """The part of the query that is keyed state."""
-    cfg = cfg or ProcessorConfig()
-    return stream_device(stream_dedup(rows, cfg), cfg.device_idle_ms)
-
-
 def write_batch(
     batch: DataFrame,
     batch_id: int,
@@ -100,25 +69,35 @@ def write_batch(
     enrichment_time: Column | None = None,
     reached: Callable[[str], None] | None = None,
 ) -> None:
-    """Finish one micro-batch; its records, dead letters and velocity state are committed together, once."""
+    """Finish one micro-batch; its records, dead letters, velocity and device state are committed together, once."""
     batch = batch.persist()
+    held = [batch]
     commits = Commits(batch.sparkSession, path, reached)
 
     def outputs() -> dict[str, DataFrame]:
         if batch_id > 0 and not commits.done(batch_id - 1):
             raise FileNotFoundError(f"no commit of batch {batch_id - 1} under {path}")
         pieces = partial(read_pieces, batch.sparkSession, f"{path}/velocity")
+        devices = partial(read_pieces, batch.sparkSession, f"{path}/device", schema=SEGMENTS)
+        live, joined = live_pieces(batch_id), joined_pieces(batch_id)
         clock, oldest = batch.agg(F.max("routed_watermark"), F.min("event_time")).first()
-        state = pieces(live_pieces(batch_id))
+        state = pieces(live)
         if oldest is not None:
             state = state.where(F.col("minute") >= (oldest - DAY_MS) // MINUTE_MS)
         counted = batch_velocity(batch, state, cfg.skew)
-        piece = next_piece(batch, pieces(joined_pieces(batch_id)), clock, cfg.lateness_ms)
-        placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence)
+        piece = next_piece(batch, pieces(joined), clock, cfg.lateness_ms)
+        placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence, base=batch)
+        # records and letters are two outputs of these rows, which are worked out once
+        profiled = batch_device(placed, devices(live), cfg.skew, cfg.device_idle_ms, base=batch).persist()
+        held.append(profiled)
+        stay = [number for number in live if number not in joined]
+        replaced = devices(joined) if joined else None
+        history = next_segments(batch, replaced, devices(stay), clock, cfg.lateness_ms, cfg.device_idle_ms)
         good, letters = split_overflow(
-            placed, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
+            profiled, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
         )
-        return {"enriched": assemble(good, cfg, enrichment_time), "dlq": letters, "velocity": piece}
+        records = assemble(good, cfg, enrichment_time)
+        return {"enriched": records, "dlq": letters, "velocity": piece, "device": history}
 
     try:
         if not commits.commit(batch_id, outputs):
@@ -126,8 +105,10 @@ def write_batch(
             batch.write.format("noop").mode("overwrite").save()
         for replaced in joined_pieces(batch_id):
             commits.remove("velocity", replaced)
+            commits.remove("device", replaced)
     finally:
-        batch.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def start_enrich(
@@ -144,7 +125,7 @@ def start_enrich(
     cfg = cfg or ProcessorConfig()
     ship_package(rows.sparkSession)
     writer = (
-        enriched_features(rows, cfg)
+        stream_dedup(rows, cfg)
         .writeStream.queryName("enrich")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

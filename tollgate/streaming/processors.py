@@ -1,4 +1,4 @@
-"""Keyed state: accepted times per transaction and the profile per device.
+"""Keyed state: accepted times per transaction.
 
 The rows of one key in one micro-batch are handled together in arrival order, so state is read
 and written once per key and batch. The batch size options of the source bound their number.
@@ -6,32 +6,11 @@ and written once per key and batch. The batch size options of the source bound t
 
 from __future__ import annotations
 
-from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from tollgate.config import DAY_MS
-from tollgate.schemas import DEVICE
-
-IDLE_MS = 7 * DAY_MS
-NO_DEVICE_PREFIX = "__no_device__"
-
 _SLOT = T.StructType([T.StructField("slot", T.LongType())])
 _ACCEPTED = T.StructType([T.StructField("event_time", T.LongType())])
-_PROFILE = T.StructType(
-    [
-        T.StructField("first_seen", T.LongType()),
-        T.StructField("txn_count", T.LongType()),
-        T.StructField("known_fraud", T.BooleanType()),
-        T.StructField("last_seen", T.LongType()),
-    ]
-)
-_INT_MAX = 2**31 - 1
-
-
-def _fitting(value, limit):
-    """A feature beyond its contract type is null, as in batch; the row becomes a dead letter."""
-    return value if abs(value) <= limit else None
 
 
 class DedupProcessor(StatefulProcessor):
@@ -86,42 +65,3 @@ class DedupProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class DeviceProcessor(StatefulProcessor):
-    """Adds the device columns; a profile idle for longer than the limit starts anew."""
-
-    def __init__(self, idle_ms: int = IDLE_MS) -> None:
-        self._idle_ms = idle_ms
-
-    def init(self, handle) -> None:
-        self._handle = handle
-        self._profile = handle.getValueState("profile", _PROFILE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        ordered = sorted(rows, key=lambda r: (r.event_time, r.source_partition, r.source_offset))
-        if key[0].startswith(NO_DEVICE_PREFIX):
-            for row in ordered:
-                yield Row(**row.asDict(), **dict.fromkeys(DEVICE.fieldNames()))
-            return
-        profile = self._profile.get() if self._profile.exists() else None
-        for row in ordered:
-            time = row.event_time
-            if profile is None or time - profile[3] > self._idle_ms:
-                profile = (time, 1, False, time)
-            else:
-                profile = (min(profile[0], time), profile[1] + 1, profile[2], max(profile[3], time))
-            features = (profile[0], _fitting(profile[1], _INT_MAX), profile[2])
-            yield Row(**row.asDict(), **dict(zip(DEVICE.fieldNames(), features)))
-        self._profile.update(profile)
-        self._handle.registerTimer(profile[3] + self._idle_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # An active device has moved on since this timer was set, and keeps its profile.
-        if self._profile.exists():
-            if self._profile.get()[3] + self._idle_ms <= expiredTimerInfo.getExpiryTimeInMs():
-                self._profile.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass

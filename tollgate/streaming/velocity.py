@@ -56,10 +56,12 @@ def joined_pieces(batch_id: int) -> list[int]:
     return sorted(set(live_pieces(batch_id)) - set(live_pieces(batch_id + 1)))
 
 
-def read_pieces(spark: SparkSession, folder: str, batches: list[int]) -> DataFrame:
+def read_pieces(
+    spark: SparkSession, folder: str, batches: list[int], schema: T.StructType = PARTIALS
+) -> DataFrame:
     if not batches:
-        return spark.createDataFrame([], PARTIALS)
-    return spark.read.schema(PARTIALS).parquet(*(f"{folder}/batch_id={b}" for b in batches))
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{folder}/batch_id={b}" for b in batches))
 
 
 def minute_of(time: Column) -> Column:
