@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import Store, text_steps
@@ -91,7 +91,7 @@ def write_token_files(
 ) -> None:
     """Encode whole texts, with end_id after each, and write path/ids and path/vocabulary.
 
-    path/ids holds files in ascending doc_id order, by file name and inside; path/vocabulary gives
+    path/ids holds files in ascending doc_id order, by the number in the name and inside; path/vocabulary gives
     the id of every rank, most frequent first, ties by id. Texts are tokenised once, into a table in
     the shared folder; ids are counted over it in the tasks and added up, at most one number per id
     of the vocabulary. Rows are dealt once, by ranges of doc_id.
@@ -164,6 +164,11 @@ def write_token_files(
     store.drop(encoded)
 
 
+def file_number(path: Column) -> Column:
+    """Place of a file among the files of a table, from its name; names alone do not sort beyond 100,000."""
+    return F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).cast("long")
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Read the files back: per document doc_id, start, n_tokens and ids_crc32, in any order.
 
@@ -186,7 +191,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     crcs = [zlib.crc32(ids[b - n : b].tobytes()) for b, n in zip(ends, counts, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([file] * len(doc_ids), pa.string()),
+                            pa.array([file] * len(doc_ids), pa.int64()),
                             pa.array(doc_ids, pa.int64()),
                             pa.array(before + ends - counts),
                             pa.array(counts),
@@ -196,8 +201,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     )
                     before += int(ends[-1])
 
-    files = spark.read.format("binaryFile").load(f"{path}/ids").select("path", "content")
-    schema = "file string, doc_id long, start long, n_tokens long, ids_crc32 long"
+    files = spark.read.format("binaryFile").load(f"{path}/ids").select(file_number(F.col("path")), "content")
+    schema = "file long, doc_id long, start long, n_tokens long, ids_crc32 long"
     decoded = store.keep(files.mapInArrow(decode, schema), "docs")
     totals = decoded.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
