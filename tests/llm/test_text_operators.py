@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -21,7 +22,8 @@ from tollgate.llm.sharding import shard
 from tollgate.llm.substrings import remove_repeats
 from tollgate.llm.suffixes import passage_spans, remove_passages
 from tollgate.llm.superminhash import near_duplicates, signatures
-from tollgate.llm.tokenfiles import pack_ranks, read_token_files, unpack_ranks, write_token_files
+from tollgate.llm.tokenfiles import file_number, pack_ranks, read_token_files, unpack_ranks, write_token_files
+from tollgate.llm.tokens import Chunks, Encoder
 from tollgate.session import fresh_path
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -198,6 +200,31 @@ def test_token_files(spark, documents):
     assert spark.read.format("binaryFile").load(f"{path}/ids").count() > 1
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("kept_bytes", [0, 20_000, 64_000_000])
+def test_encoder_on_random_texts(name, kept_bytes):
+    """Runs of mixed scripts, marks, combining characters and special tokens, as the library encodes them."""
+    rng = random.Random(kept_bytes)
+    coder = Encoder(public_tokenizers.path(name))
+    coder.chunks = Chunks(kept_bytes)
+    pool = [*"abcXYZ  \n\t.,!'’éñß漢字Ω𝔘12_<|>\u0301\u00a0\u200d", "<|endoftext|>", "[MASK]", " the"]
+    pool += [chr(rng.randrange(0x20, 0xD800)) for _ in range(40)]
+    for _ in range(20):
+        texts = ["".join(rng.choices(pool, k=rng.choice([0, 1, 5, 60, 400]))) for _ in range(20)]
+        raw = [text.encode() for text in texts]
+        borders = np.concatenate(([0], np.cumsum([len(one) for one in raw])))
+        ids, ends = coder.encode(np.frombuffer(b"".join(raw), np.uint8), borders)
+        want = [coder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == want
+
+
+def test_more_than_100_000_token_files_are_in_order(spark):
+    name = F.format_string("file:/a/part-7/ids/part-%05d-0aa1-part-99-c000.txt", "id")
+    rows = spark.range(99_990, 100_020).withColumn("path", name)
+    assert rows.where(file_number(F.col("path")) != F.col("id")).count() == 0
+    assert rows.orderBy("path").first().id == 100_000  # as names they are not
+
+
 def test_rank_coding_round_trip():
     ranks = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7])
     control, data = pack_ranks(ranks)

@@ -1,10 +1,11 @@
-"""Token ids of whole texts: each distinct chunk of a run of texts goes through the tokenizer once."""
+"""Token ids of whole texts: a task keeps the ids of chunks it has met, within a bound."""
 
 from __future__ import annotations
 
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,10 @@ OTHER, SPACE, LETTER, MARK = range(4)
 #: A chunk that the tokenizer's model can take without normaliser and pre-tokenizer.
 LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = re.compile(r" ?[!-&(-/:-@\[-`{-~]+")
+#: Bytes that the chunks kept by an encoder may take, about, before it starts anew.
+KEPT_BYTES = 64_000_000
+#: What a kept chunk takes beside its bytes, and what each of its ids takes.
+ENTRY_BYTES, ID_BYTES = 120, 8
 
 
 def byte_classes() -> np.ndarray:
@@ -28,23 +33,55 @@ def byte_classes() -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def byte_letters() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary.
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary, as a table for translate.
 
     Printable Latin-1 stands for itself; all other bytes take the characters from U+0100 on.
     """
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [byte for byte in range(256) if byte not in shown]
     names = {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
-    return [names[byte] for byte in range(256)]
+    return names
+
+
+class Chunks:
+    """Ids of chunks by number; a chunk keeps its number until the bound is reached and all are dropped."""
+
+    def __init__(self, kept_bytes: int = KEPT_BYTES):
+        self.kept_bytes = kept_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.bytes = {}, 0
+        self.lengths, self.firsts, self.ids = (np.zeros(0, np.int64) for _ in range(3))
+
+    def numbers(self, chunks: list[bytes], ids_of) -> np.ndarray:
+        """The chunks' numbers; ids_of gives the ids of those that are new, as many as they may be."""
+        if self.bytes > self.kept_bytes:
+            self.clear()
+        get = self.number.get
+        found = [get(chunk, -1) for chunk in chunks]
+        new = [chunk for chunk, number in zip(chunks, found, strict=True) if number < 0]
+        if new:
+            ids = ids_of([chunk.decode("utf-8", "replace") for chunk in new])
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
+            first = len(self.ids) + np.cumsum(lengths) - lengths
+            self.number.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.firsts = np.concatenate([self.firsts, first])
+            self.ids = np.concatenate([self.ids, flat])
+            self.bytes += sum(map(len, new)) + ENTRY_BYTES * len(new) + ID_BYTES * len(flat)
+            found = [get(chunk) if number < 0 else number for chunk, number in zip(chunks, found, strict=True)]
+        return np.array(found, np.int64)
 
 
 class Encoder:
     """Encodes runs of texts with a tokenizers file, without special tokens added.
 
     Texts are cut where no token of the tokenizer can reach across: before white space that follows a
-    letter or mark, and between a letter and a mark (not an apostrophe). The distinct chunks are
-    encoded once and the ids dealt back to the texts. A text that spells a special token is encoded
+    letter or mark, and between a letter and a mark (not an apostrophe). A run's distinct chunks that
+    are not known from an earlier run are encoded once and the ids dealt back to the texts. A text that spells a special token is encoded
     whole, as the tokenizer finds special tokens before it splits.
     """
 
@@ -57,6 +94,7 @@ class Encoder:
         self.special = [text.encode() for text in special]
         self.classes = byte_classes()
         self.byte_letters = byte_letters()
+        self.chunks = Chunks()
         # a tokenizer that drops white space and lower-cases takes chunks without either
         self.plain = self.encode_all(["A b"]) == self.encode_all(["a\nb"])
 
@@ -88,7 +126,7 @@ class Encoder:
                 ids[i] = []
             elif (LETTERS.fullmatch(chunk) or MARKS.fullmatch(chunk)) and not (self.plain and chunk[0] == " "):
                 raw = (chunk.lower() if self.plain else chunk).encode()
-                ids[i] = [token.id for token in model.tokenize("".join([letters[b] for b in raw]))]
+                ids[i] = [token.id for token in model.tokenize(raw.decode("latin-1").translate(letters))]
             else:
                 rest.append(i)
         for i, found in zip(rest, self.encode_all([chunks[i] for i in rest]), strict=True):
@@ -117,15 +155,10 @@ class Encoder:
         chunks = pa.Array.from_buffers(
             pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        distinct = [chunk.decode("utf-8", "replace") for chunk in chunks.dictionary.to_pylist()]
-        ids = self.chunk_ids(distinct)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for one in ids for x in one), np.int64, int(lengths.sum()))
-        first = np.cumsum(lengths) - lengths
-        which = chunks.indices.to_numpy()
-        counts = lengths[which]
+        which = self.chunks.numbers(chunks.dictionary.to_pylist(), self.chunk_ids)[chunks.indices.to_numpy()]
+        counts = self.chunks.lengths[which]
         ends = np.cumsum(counts)
-        taken = flat[np.repeat(first[which] - (ends - counts), counts) + np.arange(ends[-1])]
+        taken = self.chunks.ids[np.repeat(self.chunks.firsts[which] - (ends - counts), counts) + np.arange(ends[-1])]
         per_text = np.bincount(chunk_text, weights=counts, minlength=size).astype(np.int64)
         if whole.any():
             parts = np.split(taken, np.cumsum(per_text)[:-1])
