@@ -9,20 +9,10 @@ from pyspark.sql import functions as F
 
 from tollgate.functions import pan
 
-# The pools payloads are drawn from.
-IPS = [
-    "8.8.8.1",
-    "1.1.1.1",
-    "185.60.216.35",
-    "151.101.1.1",
-    "104.16.0.1",
-    "13.32.0.1",
-    "31.13.64.1",
-    "142.250.80.1",
-    "77.234.44.1",
-    "5.9.0.1",
-]
-MERCHANTS = ["amazon", "netflix", "uber", "airbnb", "spotify", "apple", "google", "steam"]
+# Networks set aside for documentation; callers are their hosts.
+NETWORKS = ["192.0.2", "198.51.100", "203.0.113"]
+HOSTS = 254
+SHOPS = 40
 CHANNEL_POOL = ["WEB", "MOBILE", "POS", "API"]
 CURRENCY_POOL = ["USD", "EUR", "GBP", "BRL", "MXN"]
 SCOPES = ["read", "write", "read write"]
@@ -67,13 +57,15 @@ def make_payloads(
         *keep,
         uuid4.alias("transaction_id"),
         F.format_string("acc-%04d", draw(id_, 2, ACCOUNTS) + 1).alias("account_id"),
-        F.concat(F.lit("merch-"), _pick(MERCHANTS, draw(id_, 3, len(MERCHANTS)))).alias("merchant_id"),
+        F.format_string("shop-%03d", draw(id_, 3, SHOPS) + 1).alias("merchant_id"),
         (cents / 100).cast("decimal(18,2)").cast("string").alias("amount"),
         _pick(CURRENCY_POOL, draw(id_, 5, len(CURRENCY_POOL))).alias("currency"),
         event_time.cast("bigint").alias("event_time"),
         _pick(CHANNEL_POOL, draw(id_, 6, len(CHANNEL_POOL))).alias("channel"),
         pan.with_check_digit(digits, 15).alias("card_number"),
-        _pick(IPS, draw(id_, 7, len(IPS))).alias("caller_ip"),
+        F.concat_ws(
+            ".", _pick(NETWORKS, draw(id_, 7, len(NETWORKS))), (draw(id_, 13, HOSTS) + 1).cast("string")
+        ).alias("caller_ip"),
         F.concat(F.lit("key-"), (draw(id_, 11, API_KEYS) + 1).cast("string")).alias("api_key_id"),
         _pick(SCOPES, draw(id_, 12, len(SCOPES))).alias("oauth_scope"),
         F.lit(None).cast("float").alias("geo_lat"),
