@@ -21,6 +21,7 @@ from tollgate.operators import enrich as enr
 from tollgate.operators import geo as geo_op
 from tollgate.operators import velocity as vel
 from tollgate.plans.enrichment import enrich
+from tollgate.plans.processing import Processed, process
 from tollgate.session import fresh_path, ship_package, state_settings
 from tollgate.sources import event_log, generator
 from tollgate.streaming.commits import Commits
@@ -1127,6 +1128,86 @@ def _stream_replay_after_crash(spark, sf_dir):
     return good.unionByName(letters)
 
 
+# The whole second stage in batch
+
+PROCESSED = (
+    sql.txn(repeats=tables.NEAR_REPEATS).replace("CAST(value AS DECIMAL(18,4))", LARGE),
+    FRAMES,
+    DECODED_ROWS,
+    DECODED_LATE,
+    "good AS (SELECT * EXCLUDE (watermark, is_late) FROM late WHERE NOT is_late)",
+    NEAR_FIRST.replace("FROM txn", "FROM good"),
+    sql.enriched().replace("AS DECIMAL(18,4)) AS vel", "AS DECIMAL(38,4)) AS vel"),
+    f"judged AS (SELECT *, CASE {TOO_LARGE} END AS letter FROM enr)",
+    """letters AS (
+  SELECT source_topic, source_partition, source_offset, CAST(NULL AS VARCHAR) AS transaction_id,
+    'SCHEMA_VALIDATION_ERROR' AS error_type, decode_error AS error_message FROM fr WHERE decode_error IS NOT NULL
+  UNION ALL
+  SELECT source_topic, source_partition, source_offset, transaction_id, 'LATE_EVENT_BEYOND_ALLOWED_LATENESS',
+    'event_time=' || event_time || ' is ' || (watermark - event_time) || 'ms behind watermark (allowed=30000ms)'
+  FROM late WHERE is_late
+  UNION ALL
+  SELECT source_topic, source_partition, source_offset, transaction_id, 'ENRICHMENT_EXCEPTION', letter
+  FROM judged WHERE letter IS NOT NULL
+)""",
+)
+
+
+def _processed(spark: SparkSession, sf_dir: str) -> Processed:
+    """The stage over framed log records with faults, late rows, repeats and amounts that overflow."""
+    rows = tables.transactions(spark, sf_dir, repeats=tables.NEAR_REPEATS)
+    large = F.substring_index("transaction_id", "-", -1).cast("long") % 11 == 0
+    rows = rows.withColumn("amount", F.when(large, 60_000_000_000_000).otherwise(F.col("amount")).cast("decimal(18,4)"))
+    log = tables.log_records(rows)
+    return process(log, tables.blocks(spark), STREAM_CFG, tables.enrichment_clock(), "json")
+
+
+@register("process_records", sql.with_(*PROCESSED) + f"SELECT {ENRICHED_OUT} FROM judged WHERE letter IS NULL")
+def _process_records(spark, sf_dir):
+    return _processed(spark, sf_dir).records
+
+
+@register("process_dead_letters", sql.with_(*PROCESSED) + "SELECT * FROM letters")
+def _process_dead_letters(spark, sf_dir):
+    """All three kinds of failure in one table, at most one letter per source offset."""
+    return _processed(spark, sf_dir).letters.select(
+        *schemas.SOURCE.fieldNames(), "transaction_id", "error_type", "error_message"
+    )
+
+
+@register(
+    "process_reconcile",
+    sql.with_(
+        *PROCESSED,
+        """sides AS (
+  SELECT transaction_id, 1 AS n_input, 0 AS n_enriched, 0 AS n_dlq FROM sound
+  UNION ALL SELECT transaction_id, 0, 1, 0 FROM judged WHERE letter IS NULL
+  UNION ALL SELECT transaction_id, 0, 0, 1 FROM letters WHERE transaction_id IS NOT NULL
+)""",
+        RECON[RECON.index("tally AS") :],
+    )
+    + "SELECT * FROM recon",
+)
+def _process_reconcile(spark, sf_dir):
+    """Every readable id against the stage's own records and letters."""
+    done = _processed(spark, sf_dir)
+    return quality.reconcile(frame.decoded_rows(done.decoded), done.records, done.letters)
+
+
+@register(
+    "process_counters",
+    sql.with_(*PROCESSED)
+    + """SELECT 'read' AS counter, count(*) AS total FROM txn
+UNION ALL SELECT kind, count(l.error_type) FROM (VALUES ('SCHEMA_VALIDATION_ERROR'),
+  ('LATE_EVENT_BEYOND_ALLOWED_LATENESS'), ('ENRICHMENT_EXCEPTION')) k(kind)
+  LEFT JOIN letters l ON l.error_type = kind GROUP BY 1
+UNION ALL SELECT 'repeats_dropped', (SELECT count(*) FROM good) - (SELECT count(*) FROM uniq)
+UNION ALL SELECT 'records', count(*) FROM judged WHERE letter IS NULL""",
+)
+def _process_counters(spark, sf_dir):
+    return _processed(spark, sf_dir).counters
+
+
 def _dies_at(step: str | None):
     def reached(name: str) -> None:
         if name == step:

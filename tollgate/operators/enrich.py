@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tollgate.config import ProcessorConfig
 from tollgate.operators.dlq import envelope
 from tollgate.operators.velocity import as_count
-from tollgate.schemas import DECODED, ENRICHED, ENRICHMENT_ERROR, VELOCITY
+from tollgate.schemas import DECODED, ENRICHED, ENRICHMENT_ERROR, SOURCE, VELOCITY
 
 
 def now_ms() -> Column:
@@ -30,34 +30,29 @@ def overflow(clock: Column) -> Column:
     return F.coalesce(*checks)
 
 
-def split_overflow(
-    df: DataFrame, enrichment_time: Column | None = None, **stamps: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Rows whose features fit the contract, and dead letters for the others."""
-    clock = now_ms() if enrichment_time is None else enrichment_time
-    marked = df.withColumn("_overflow", overflow(clock))
-    bad = marked.where(F.col("_overflow").isNotNull())
+def overflow_letters(marked: DataFrame, **stamps: Column) -> DataFrame:
+    """Dead letters of rows whose ``_overflow`` names a feature; ``stamps`` go to the envelope."""
     fields = [field.name for field in DECODED.fields]
-    letters = envelope(
-        bad,
+    return envelope(
+        marked.where(F.col("_overflow").isNotNull()),
         F.lit(ENRICHMENT_ERROR),
         F.concat(F.col("_overflow"), F.lit(" exceeds its contract type")),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary"),
         **stamps,
     )
-    return marked.where(F.col("_overflow").isNull()).drop("_overflow"), letters
 
 
-def assemble(
-    df: DataFrame, cfg: ProcessorConfig | None = None, enrichment_time: Column | None = None
-) -> DataFrame:
-    """Project features and stamps in contract order.
-
-    Pass ``enrichment_time`` (epoch ms) where a repeated run must give the same rows.
-    """
-    cfg = cfg or ProcessorConfig()
+def split_overflow(
+    df: DataFrame, enrichment_time: Column | None = None, **stamps: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose features fit the contract, and dead letters for the others."""
     clock = now_ms() if enrichment_time is None else enrichment_time
-    stamped = df.withColumns(
+    marked = df.withColumn("_overflow", overflow(clock))
+    return marked.where(F.col("_overflow").isNull()).drop("_overflow"), overflow_letters(marked, **stamps)
+
+
+def _stamped(df: DataFrame, cfg: ProcessorConfig, clock: Column) -> DataFrame:
+    return df.withColumns(
         {
             "enrichment_time": clock.cast("bigint"),
             "processor_version": F.lit(cfg.processor_version),
@@ -66,6 +61,32 @@ def assemble(
     ).withColumn(
         "enrichment_latency_ms", latency_ms(F.col("enrichment_time"), F.col("processing_time"))
     )
-    return stamped.select(
-        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in ENRICHED.fields]
-    )
+
+
+def _record_columns() -> list[Column]:
+    return [F.col(field.name).cast(field.dataType).alias(field.name) for field in ENRICHED.fields]
+
+
+def assemble(
+    df: DataFrame, cfg: ProcessorConfig | None = None, enrichment_time: Column | None = None
+) -> DataFrame:
+    """Project features and stamps in contract order.
+
+    Pass ``enrichment_time`` (epoch ms) where a repeated run must give the same rows.
+    """
+    clock = now_ms() if enrichment_time is None else enrichment_time
+    return _stamped(df, cfg or ProcessorConfig(), clock).select(*_record_columns())
+
+
+def judged(
+    df: DataFrame, cfg: ProcessorConfig | None = None, enrichment_time: Column | None = None
+) -> DataFrame:
+    """Every row once: source coordinates, the record's columns, and ``_overflow``.
+
+    What becomes a record and what a dead letter are both projections of this table, so a plan that
+    needs the two works out the features once.
+    """
+    clock = now_ms() if enrichment_time is None else enrichment_time
+    marked = df.withColumn("_overflow", overflow(clock))
+    stamped = _stamped(marked, cfg or ProcessorConfig(), clock)
+    return stamped.select(*SOURCE.fieldNames(), *_record_columns(), "_overflow")

@@ -18,10 +18,11 @@ def with_watermark_and_lateness(
     blocks: offsets are unique, so a block never holds more than ``block_rows`` rows.
     """
     cfg = cfg or ProcessorConfig()
-    keys = ["source_partition", "_block"]
+    source = [name for name in ("source_topic", "source_partition") if name in df.columns]
+    keys = [*source, "_block"]
     cut = df.withColumn("_block", F.expr(f"source_offset div {block_rows}L"))
     earlier_blocks = (
-        Window.partitionBy("source_partition")
+        Window.partitionBy(*source)
         .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -71,6 +71,15 @@ def write_durable(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_split(df: DataFrame, name: str, column: str, ways: int) -> DataFrame:
+    """``write_durable`` with a folder per value of a column of at most ``ways`` values.
+
+    A task keeps a file open for each value and does not sort its rows by them first.
+    """
+    with _settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(ways)}):
+        return write_durable(df, name, column)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,15 +87,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 @contextmanager
-def state_settings(spark: SparkSession) -> Iterator[None]:
-    """Settings for the stateful queries started inside; a query keeps what it started with.
-
-    The number of state partitions is fixed when a query first starts: here the session's cores.
-    """
-    settings = {
-        **STREAM_SETTINGS,
-        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
-    }
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -97,6 +98,18 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings for the stateful queries started inside; a query keeps what it started with.
+
+    The number of state partitions is fixed when a query first starts: ``partitions``, which should
+    suit the largest cluster the query may come to run on, or else the session's cores.
+    """
+    count = partitions or spark.sparkContext.defaultParallelism
+    with _settings(spark, {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(count)}):
+        yield
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, which need it for the stateful processors."""
     root = os.path.dirname(os.path.abspath(__file__))
