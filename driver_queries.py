@@ -22,7 +22,7 @@ from tollgate.operators import geo as geo_op
 from tollgate.operators import velocity as vel
 from tollgate.plans.enrichment import enrich
 from tollgate.plans.processing import Processed, process
-from tollgate.session import fresh_path, ship_package, state_settings
+from tollgate.session import fresh_path, ship_package, state_settings, write_durable
 from tollgate.sources import event_log, generator
 from tollgate.streaming.commits import Commits
 from tollgate.streaming.enrich import read_valid, start_enrich, stream_dedup
@@ -697,6 +697,27 @@ def _corrections(spark, sf_dir):
     return fixed.select("transaction_id", "enrichment_time", *schemas.VELOCITY.fieldNames())
 
 
+LATE_DAYS = "(event_time // 86400000 % 7 = 3 AND CAST(substring(transaction_id, 5) AS BIGINT) % 5 = 0)"
+
+
+@register(
+    "corrections_by_day",
+    FIX.replace(LATE_IDS, LATE_DAYS).replace(sql.txn(60, repeats=[]), sql.txn(2, repeats=[])),
+)
+def _corrections_by_day(spark, sf_dir):
+    """Late rows on some days only: the other days of the stored records are not read."""
+    day = quality.event_day(F.col("event_time"))
+    rows = tables.transactions(spark, sf_dir, 2, repeats=[]).withColumn("event_day", day)
+    few = (F.col("event_day") % 7 == 3) & (F.substring("transaction_id", 5, 20).cast("bigint") % 5 == 0)
+    events = write_durable(rows.hint("rebalance", "event_day"), "events", "event_day")
+    emitted = vel.velocity(rows.where(~few)).withColumn("enrichment_time", F.col("processing_time") + 10)
+    emitted = write_durable(emitted.hint("rebalance", "event_day"), "emitted", "event_day")
+    fixed = quality.corrections_by_day(
+        events, emitted, events.where(few), F.col("processing_time") + 5000
+    )
+    return fixed.select("transaction_id", "enrichment_time", *schemas.VELOCITY.fieldNames())
+
+
 # Metrics
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.config import DAY_MS, MINUTE_MS, SkewConfig
-from tollgate.operators.dedup import latest_per_id
+from tollgate.operators.dedup import ID, latest_per_id
 from tollgate.operators.skew import lookup_join
 from tollgate.operators.velocity import velocity
 from tollgate.schemas import ARRIVAL, FORBIDDEN_FIELDS, VELOCITY, VELOCITY_WINDOWS
+from tollgate.session import write_durable
 
 
 def schema_differences(actual: T.StructType, contract: T.StructType) -> list[str]:
@@ -160,6 +161,90 @@ def stage_correlation(events: DataFrame, enriched: DataFrame) -> DataFrame:
     )
 
 
+def event_day(time: Column) -> Column:
+    """Day number of an epoch-ms time: the partition column of tables stored by day."""
+    return F.floor(time / F.lit(DAY_MS)).cast("bigint")
+
+
+# Up to this many days are broadcast to prune by: some 270 years, 1.6 MB.
+LISTED_DAYS = 100_000
+
+
+def on_days(table: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Rows of a table stored by day that lie on one of ``days``.
+
+    The span of the days is a plain partition filter. Inside it the list, broadcast if it is short
+    enough, prunes at run time: folders of other days are not opened.
+    """
+    first, last, number = days.agg(F.min(day), F.max(day), F.count_distinct(day)).first()
+    if first is None:
+        return table.where(F.lit(False))
+    within = F.col(day).between(first, last)
+    listed = days.select(day).distinct().where(within)
+    if number <= LISTED_DAYS:
+        listed = F.broadcast(listed)
+    return table.where(within).join(listed, day, "left_semi")
+
+
+def _changed() -> Column:
+    """Whether a velocity column differs from its new value."""
+    changed = F.lit(False)
+    for name in VELOCITY.fieldNames():
+        changed = changed | ~F.col(name).eqNullSafe(F.col(f"_new_{name}"))
+    return changed
+
+
+def corrections_by_day(
+    events: DataFrame,
+    emitted: DataFrame,
+    late: DataFrame,
+    enrichment_time: Column,
+    day: str = "event_day",
+    skew: SkewConfig | None = None,
+) -> DataFrame:
+    """``corrections`` over tables stored in folders by ``day`` (``event_day`` of the event time).
+
+    A late row changes its account's rows of the next 24 hours and a minute, so it touches at most
+    three days of that account. Only those days of ``emitted`` are read, and of ``events`` those and
+    the two days before, from which the windows of the first one reach back.
+
+    A transaction here is an id and its event time: an id that came back after the dedup ttl counts as
+    two, and its earlier record is corrected as well. The last record of each by ``enrichment_time`` is
+    compared; readers take the last one per id and event time. Late rows without time or account touch
+    nothing. No late row: no correction, and neither table is read.
+    """
+    skew = skew or SkewConfig()
+    reach = DAY_MS + MINUTE_MS
+    time = F.col("event_time")
+    days = F.sequence(event_day(time), event_day(time + reach))
+    touched = late.where(F.col("account_id").isNotNull()).select("account_id", F.explode(days).alias(day))
+    touched = write_durable(touched.distinct(), "touched-days")
+    back = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("_back")
+    context = touched.select("account_id", day, back).groupBy(
+        "account_id", (F.col(day) - F.col("_back")).alias(day)
+    ).agg(F.min("_back").alias("_back"))
+    context = write_durable(context, "context-days")
+    keys = ["account_id", day]
+    # Salted: a hot account's day must not meet on one task here.
+    near = lookup_join(
+        on_days(events, context, day).select(ID, *keys, "event_time", "amount", *ARRIVAL),
+        context,
+        keys,
+        ARRIVAL,
+        skew,
+    ).where(F.col("_back").isNotNull())
+    near = write_durable(near, "near")  # velocity reads it more than once
+    fresh = velocity(near, skew).where(F.col("_back") == 0).select(
+        ID, "event_time", *[F.col(name).alias(f"_new_{name}") for name in VELOCITY.fieldNames()]
+    )
+    pairs = on_days(emitted, touched, day).join(fresh, [ID, "event_time"])
+    newest = Window.partitionBy(ID, "event_time").orderBy(F.desc("enrichment_time"))
+    pairs = pairs.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+    return pairs.where(_changed()).withColumns(
+        {name: F.col(f"_new_{name}") for name in VELOCITY.fieldNames()} | {"enrichment_time": enrichment_time}
+    ).select(*emitted.columns)
+
+
 def corrections(
     events: DataFrame,
     emitted: DataFrame,
@@ -187,12 +272,9 @@ def corrections(
         F.col("event_time").alias("_event_time"),
         *[F.col(name).alias(f"_new_{name}") for name in names],
     )
-    changed = F.lit(False)
-    for name in names:
-        changed = changed | ~F.col(name).eqNullSafe(F.col(f"_new_{name}"))
     pairs = latest_per_id(emitted).join(fresh, "transaction_id").where(
-        (F.col("event_time") == F.col("_event_time")) & changed
+        F.col("event_time") == F.col("_event_time")
     )
-    return pairs.withColumns(
+    return pairs.where(_changed()).withColumns(
         {name: F.col(f"_new_{name}") for name in names} | {"enrichment_time": enrichment_time}
     ).select(*emitted.columns)
