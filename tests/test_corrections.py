@@ -15,7 +15,7 @@ from tollgate.plans.processing import process
 from tollgate.schemas import VELOCITY
 
 FEATURES = ["transaction_id", "event_time", *VELOCITY.fieldNames()]
-CLOCK = F.lit(T0 + 90 * DAY_MS)
+LATER = T0 + 90 * DAY_MS
 
 
 def stored(df, path):
@@ -50,7 +50,7 @@ def test_only_touched_days_are_read(spark, rows, tmp_path, skew):
     everything = rows(spread_items())
     emitted = emitted_records(everything.where(~is_late()))
     late = everything.where(is_late())
-    expected = corrections(everything, emitted, late, CLOCK, skew).select(*FEATURES).collect()
+    expected = corrections(everything, emitted, late, F.lit(LATER), skew).select(*FEATURES).collect()
     events = stored(everything, f"{tmp_path}/events")
     records = stored(emitted, f"{tmp_path}/emitted")
     first = T0 // DAY_MS
@@ -62,7 +62,7 @@ def test_only_touched_days_are_read(spark, rows, tmp_path, skew):
             for file in files:
                 with open(file, "wb") as broken:
                     broken.write(b"not a table")
-    found = corrections_by_day(events, records, late, CLOCK, skew=skew).select(*FEATURES).collect()
+    found = corrections_by_day(events, records, late, F.lit(LATER), skew=skew).select(*FEATURES).collect()
     assert sorted(found) == sorted(expected) and len(found) > 10
 
 
@@ -71,8 +71,8 @@ def test_no_late_row_corrects_nothing(rows, tmp_path):
     events = stored(everything, f"{tmp_path}/events")
     records = stored(emitted_records(everything), f"{tmp_path}/emitted")
     lost = rows([(None, "k", T0, 1), ("a", "k", None, 1)])
-    assert corrections_by_day(events, records, lost, CLOCK).count() == 0
-    assert corrections_by_day(events, records, lost.where("false"), CLOCK).count() == 0
+    assert corrections_by_day(events, records, lost, F.lit(LATER)).count() == 0
+    assert corrections_by_day(events, records, lost.where("false"), F.lit(LATER)).count() == 0
 
 
 def test_a_returned_id_is_corrected_by_its_own_time(spark, rows, tmp_path):
@@ -86,7 +86,7 @@ def test_a_returned_id_is_corrected_by_its_own_time(spark, rows, tmp_path):
     emitted = emitted_records(everything.where(~late))
     corrected = emitted.withColumn("vel_count_24h", F.lit(9)).withColumn("enrichment_time", F.lit(T0 - 1))
     records = stored(emitted.unionByName(corrected), f"{tmp_path}/emitted")
-    found = corrections_by_day(events, records, everything.where(late), CLOCK).collect()
+    found = corrections_by_day(events, records, everything.where(late), F.lit(LATER)).collect()
     assert [(r.event_time, r.vel_count_24h, r.vel_amount_24h) for r in found] == [
         (T0 + HOUR_MS, 2, Decimal("3.0000"))
     ]
