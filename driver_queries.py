@@ -26,7 +26,7 @@ from tollgate.session import fresh_path, ship_package, state_settings, write_dur
 from tollgate.sources import event_log, generator
 from tollgate.streaming.commits import Commits
 from tollgate.streaming.enrich import read_valid, start_enrich, stream_dedup
-from tollgate.streaming.progress import progress_frame
+from tollgate.streaming.progress import ProgressLog
 from tollgate.streaming.route import start_route
 
 QUERIES: dict = {}
@@ -1356,9 +1356,56 @@ def _stream_progress(spark, sf_dir):
     root = fresh_path(spark, "progress")
     tables.log_records(rows).write.parquet(f"{root}/in")
     log = event_log.read_log_files(spark, f"{root}/in", STREAM_CFG)
-    query = start_route(log, f"{root}/out", f"{root}/checkpoint", STREAM_CFG, once=True)
-    query.awaitTermination()
-    reports = progress_frame(spark, query.recentProgress)
+    reports = _logged(spark, lambda: start_route(log, f"{root}/out", f"{root}/checkpoint", STREAM_CFG, once=True))
     return reports.groupBy("query").agg(
         F.sum("input_rows").alias("input_rows"), F.max("failed").alias("failed")
     )
+
+
+def _logged(spark: SparkSession, start) -> DataFrame:
+    """The progress table of one query, from its start to its end."""
+    kept = ProgressLog()
+    spark.streams.addListener(kept)
+    try:
+        query = start()
+        query.awaitTermination()
+        if not kept.wait(query):
+            raise TimeoutError("the last progress report did not arrive")
+    finally:
+        spark.streams.removeListener(kept)
+    return kept.frame(spark)
+
+
+#: Micro-batches of the query below: more than Spark keeps reports of.
+MANY = 104
+
+
+@register(
+    "stream_progress_history",
+    f"""WITH marked AS (SELECT epoch_us(ts) // 1000 AS ms FROM events),
+mark AS (SELECT max(ms) - 600000 AS watermark FROM marked)
+SELECT 'hours' AS query, {MANY} AS batches, count(*) AS input_rows, max(watermark) AS watermark,
+  count(DISTINCT ms // {tables.HOUR_MS}) FILTER ((ms // {tables.HOUR_MS} + 1) * {tables.HOUR_MS} > watermark) AS state_rows,
+  false AS failed FROM marked, mark""",
+)
+def _stream_progress_history(spark, sf_dir):
+    """Hourly counts over many micro-batches: rows, last watermark and last state size of all reports."""
+    root = fresh_path(spark, "history")
+    times = tables.read(spark, sf_dir, "events").select(F.timestamp_millis(tables.epoch_ms(F.col("ts"))).alias("at"))
+    times.repartition(MANY).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    hours = stream.withWatermark("at", "10 minutes").groupBy(F.window("at", "1 hour")).count()
+
+    def start():
+        with state_settings(spark, 1):
+            writer = hours.writeStream.queryName("hours").format("noop").outputMode("append")
+            writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+            return writer.trigger(availableNow=True).start()
+
+    return _logged(spark, start).groupBy("query").agg(
+        F.count_if(F.col("input_rows") > 0).alias("batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.max("watermark").alias("watermark"),
+        F.max_by("state_rows", "batch_id").alias("state_rows"),
+        F.max("failed").alias("failed"),
+    )

@@ -1,3 +1,4 @@
+import json
 import os
 import random
 from decimal import Decimal
@@ -350,6 +351,49 @@ def test_progress_rows(spark):
     assert (age.age_ms, age.stalled) == (120_000, True)
 
 
+class Ended:
+    """What a listener gets of a run that ended."""
+
+    def __init__(self, run, exception=None):
+        self.id, self.runId, self.exception = "query", run, exception
+
+
+class Report:
+    def __init__(self, batch):
+        body = {"name": "q", "batchId": batch, "timestamp": "2026-01-01T00:00:00.000Z", "numInputRows": batch}
+        self.progress = type("Progress", (), {"json": json.dumps(body)})
+
+
+def test_progress_table_forgets_nothing(spark, tmp_path):
+    """Files of three rows; a second log, as of a driver started later, adds to the same table."""
+    for part in (range(10), range(10, 17)):
+        log = ProgressLog(f"{tmp_path}/progress", file_rows=3)
+        for batch in part:
+            log.onQueryProgress(Report(batch))
+    log.onQueryTerminated(Ended("run", "stopped"))
+    rows = log.frame(spark).collect()
+    assert sorted(r.batch_id for r in rows) == [-1, *range(17)]
+    assert [r.query for r in rows if r.failed] == ["query"]
+    assert len(list((tmp_path / "progress").glob("[!.]*.json"))) == 7
+
+
+def test_progress_table_without_reports_is_empty(spark):
+    assert ProgressLog().frame(spark).count() == 0
+
+
+def test_lag_by_plain_counts(spark):
+    report = {"name": "files", "batchId": 0, "sources": [{"latestOffset": {"logOffset": 9}, "endOffset": {"logOffset": 4}}]}
+    other = {"name": "files", "batchId": 1, "sources": [{"latestOffset": {"at": "x"}, "endOffset": {"at": "x"}}]}
+    assert [r.lag for r in progress_frame(spark, [report, other]).sort("batch_id").collect()] == [5, None]
+
+
+def test_state_partitions_are_a_setting(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_settings(spark, 7):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 @pytest.mark.skipif("SPARK_KAFKA_TESTS" not in os.environ, reason="the Kafka package is not installed")
 def test_topic_source(spark):
     assert event_log.read_topic(spark, ProcessorConfig()).isStreaming

@@ -86,6 +86,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Give a file this text: by a rename, so a reader sees the old or the new one, whole."""
+    folders = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = folders.Path(path)
+    part = folders.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = part.getFileSystem(conf).create(part, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(folders, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    folders.FileContext.getFileContext(conf).rename(part, target, options)
+
+
 @contextmanager
 def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in settings}

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections import deque
+import threading
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from tollgate.session import fresh_path, path_exists, replace_file
 
 _PROGRESS = (
     "query string, batch_id bigint, recorded_at bigint, input_rows bigint, batch_ms bigint, "
@@ -23,7 +26,7 @@ def _epoch_ms(text: str | None) -> int | None:
 
 
 def _offset_sum(value) -> int | None:
-    """Sum of per-topic, per-partition offsets; null for sources that count otherwise."""
+    """Sum of per-topic, per-partition offsets, or of plain counts by name; null for other sources."""
     if isinstance(value, str):
         try:
             value = json.loads(value)
@@ -31,7 +34,8 @@ def _offset_sum(value) -> int | None:
             return None
     if not isinstance(value, dict):
         return None
-    return sum(n for parts in value.values() if isinstance(parts, dict) for n in parts.values())
+    parts = [n for part in value.values() for n in (part.values() if isinstance(part, dict) else [part])]
+    return sum(parts) if all(isinstance(n, int) for n in parts) else None
 
 
 def progress_row(progress: dict) -> tuple:
@@ -56,17 +60,28 @@ def progress_row(progress: dict) -> tuple:
     )
 
 
+_NAMES = [column.split()[0] for column in _PROGRESS.split(", ")]
+
+
 class ProgressLog(StreamingQueryListener):
-    """Keeps the latest reports and failures in memory; ``frame`` turns them into a table."""
+    """Keeps every report and failure in a table of the shared folder; ``frame`` reads it.
 
-    def __init__(self, keep: int = 10_000) -> None:
-        self._rows = deque(maxlen=keep)
+    Each report rewrites the log's newest file by a rename, until that holds ``file_rows`` rows and
+    the next one starts. So nothing is forgotten, memory holds one file, and a stopped driver loses no
+    report that reached it. A write that fails is made good by the next one. Several drivers may
+    use one ``path``: each log has files of its own. Without a path there is a fresh folder.
+    """
+
+    def __init__(self, path: str | None = None, file_rows: int = 256) -> None:
+        self._path, self._file_rows = path, file_rows
+        self._log, self._number, self._rows = uuid.uuid4().hex, 0, []
+        self._changed, self._ended = threading.Condition(), set()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self._rows.append(progress_row(json.loads(event.progress.json)))
+        self._append(progress_row(json.loads(event.progress.json)))
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -74,10 +89,36 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         if event.exception:
             now = int(datetime.now().timestamp() * 1000)
-            self._rows.append((str(event.id), -1, now, 0, None, None, None, 0, 0, True))
+            self._append((str(event.id), -1, now, 0, None, None, None, 0, 0, True))
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> bool:
+        """Wait until the last report of an ended run is in the table; reports arrive after the run."""
+        run = str(query.runId)
+        with self._changed:
+            return self._changed.wait_for(lambda: run in self._ended, seconds)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self._rows), _PROGRESS)
+        """All rows of the table, those of earlier drivers included."""
+        path = self._folder(spark)
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], _PROGRESS)
+        return spark.read.schema(_PROGRESS).json(path)
+
+    def _folder(self, spark: SparkSession) -> str:
+        self._path = self._path or fresh_path(spark, "progress")
+        return self._path
+
+    def _append(self, row: tuple) -> None:
+        with self._changed:
+            if len(self._rows) >= self._file_rows:
+                self._rows, self._number = [], self._number + 1
+            self._rows.append(row)
+            spark = SparkSession.active()
+            text = "\n".join(json.dumps(dict(zip(_NAMES, kept))) for kept in self._rows)
+            replace_file(spark, f"{self._folder(spark)}/{self._log}-{self._number:08d}.json", text)
 
 
 def progress_frame(spark: SparkSession, reports: list[dict]) -> DataFrame:
