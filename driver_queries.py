@@ -946,6 +946,75 @@ def _clock_skew(spark, sf_dir):
     )
 
 
+def _in_bounds(counts: DataFrame, found: DataFrame, keys: list[str], answers: dict[str, float]) -> DataFrame:
+    """Whether the ranks of each answer in its group come as near to the quantile as a sketch promises.
+
+    ``counts`` has rows per group and value as ``n``; ``answers`` names the columns and their quantiles.
+    """
+    ranks = [F.sum("n").alias("_total")]
+    for name in answers:
+        ranks.append(F.sum(F.when(F.col("value") < F.col(name), F.col("n")).otherwise(0)).alias(f"_below_{name}"))
+        ranks.append(F.sum(F.when(F.col("value") <= F.col(name), F.col("n")).otherwise(0)).alias(f"_upto_{name}"))
+    columns = [c for c in found.columns if c not in keys]
+    ranked = counts.join(found, keys).groupBy(*keys, *columns).agg(*ranks)
+    # the promise holds with 99 % confidence for one answer; twice the error all but surely for all
+    slack = F.greatest(F.lit(1.0), 2 * metrics.SKETCH_RANK_ERROR * F.col("_total"))
+
+    def near(name: str, quantile: float) -> Column:
+        goal = quantile * F.col("_total")
+        return (F.col(f"_below_{name}") <= goal + slack) & (F.col(f"_upto_{name}") >= goal - slack)
+
+    return ranked.withColumns({f"{name}_in_bounds": near(name, q) for name, q in answers.items()})
+
+
+@register(
+    "clock_skew_sketched",
+    sql.with_(sql.txn())
+    + "SELECT api_key_id, count(*) AS events, "
+    + ", ".join(f"true AS p{int(q * 100)}_in_bounds" for q in metrics.QUANTILES)
+    + " FROM txn GROUP BY 1",
+)
+def _clock_skew_sketched(spark, sf_dir):
+    """Sketched quantiles against all values of their key: each within the stated rank error."""
+    rows = tables.transactions(spark, sf_dir).withColumn("key", F.coalesce("api_key_id", F.lit("")))
+    skew = F.col("processing_time") - F.col("event_time")
+    counts = rows.groupBy("key", skew.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    names = {f"p{int(q * 100)}": q for q in metrics.QUANTILES}
+    found = metrics.clock_skew_sketched(rows, "key").withColumnsRenamed({f"skew_{p}_ms": p for p in names})
+    return _in_bounds(counts, found, ["key"], names).select(
+        F.nullif("key", F.lit("")).alias("api_key_id"), "events", *[f"{p}_in_bounds" for p in names]
+    )
+
+
+@register(
+    "sliding_quantiles",
+    sql.with_(sql.txn(60), LAT)
+    + f"""SELECT channel, (enrichment_time // {MINUTE} + s) * {MINUTE} AS window_end, count(*) AS n,
+  min(enrichment_latency_ms) AS lowest, max(enrichment_latency_ms) AS highest, true AS p99_in_bounds
+FROM lat, range(1, 6) r(s) GROUP BY 1, 2""",
+)
+def _sliding_quantiles(spark, sf_dir):
+    """Sketches per minute merged into five-minute windows; ends are exact, p99 by its rank in the window."""
+    rows = tables.transactions(spark, sf_dir, 60).withColumn("enrichment_time", tables.enrichment_clock())
+    rows = rows.withColumn("latency", F.col("enrichment_time") - F.col("processing_time"))
+    sketches = metrics.quantile_sketches(rows, "latency", "enrichment_time", ["channel"])
+    found = metrics.sliding_quantiles(sketches, ["channel"], 5, [0.0, 0.99, 1.0])
+    lowest, p99, highest = (F.get("values", F.lit(i)) for i in range(3))
+    found = found.select(
+        "channel", "window_end", F.col("n").alias("events"),
+        lowest.alias("lowest"), p99.alias("p99"), highest.alias("highest"),
+    )
+    minute = F.expr(f"enrichment_time div {MINUTE}L")
+    counts = rows.groupBy("channel", minute.alias("minute"), F.col("latency").alias("value"))
+    counts = counts.agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "_end", F.explode(F.sequence(F.col("minute") + 1, F.col("minute") + 5))
+    ).withColumn("window_end", F.col("_end") * MINUTE)
+    return _in_bounds(counts, found, ["channel", "window_end"], {"p99": 0.99}).select(
+        "channel", "window_end", F.col("events").alias("n"), "lowest", "highest", "p99_in_bounds"
+    )
+
+
+
 # Messages and generator
 
 

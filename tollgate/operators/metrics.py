@@ -319,16 +319,103 @@ def version_mix(df: DataFrame) -> DataFrame:
     return counter(df, ["masking_lib_version"], "events")
 
 
+def grouped_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """Interpolated quantiles of an integer column per group: keys, ``events`` and ``_q``, in order.
+
+    Rows are counted per distinct value before anything is sorted, so a group's window holds its
+    distinct values, not its rows. Null keys are a group; a group of null values only has null quantiles.
+    """
+    counts = df.groupBy(*keys, F.col(value).cast("bigint").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    held = F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0)
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumns({"_end": F.sum(held).over(upto), "_total": F.sum(held).over(group)})
+    ranked = ranked.withColumn("_start", F.col("_end") - held)
+
+    def at(index: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= index) & (index < F.col("_end")), F.col("_value")))
+
+    points = []
+    for q in quantiles:
+        place = F.lit(float(q)) * (F.col("_total") - 1)
+        low, part = at(F.floor(place)), F.max(place - F.floor(place))
+        points.append(low + (at(F.ceil(place)) - low) * part)
+    return ranked.groupBy(*keys).agg(F.sum("_n").alias("events"), F.array(*points).alias("_q"))
+
+
+def _skew() -> Column:
+    return F.col("processing_time") - F.col("event_time")
+
+
+def _by_name(df: DataFrame, key: str) -> DataFrame:
+    return df.select(
+        key, "events", *[F.get("_q", F.lit(i)).alias(f"skew_p{int(q * 100)}_ms") for i, q in enumerate(QUANTILES)]
+    )
+
+
 def clock_skew(df: DataFrame, key: str = "api_key_id") -> DataFrame:
     """Quantiles of processing minus event time per key.
 
-    Accepted events lie within minutes of the receiving clock, so a key has few distinct values,
-    and each task sends one map of them, not rows.
+    Accepted events lie within minutes of the receiving clock, so a key has few distinct values. Where
+    clocks are not checked, ``clock_skew_sketched`` needs no more than a sketch per key.
+    """
+    return _by_name(grouped_quantiles(df.withColumn("_skew", _skew()), [key], "_skew"), key)
+
+
+# Entries of a sketch. At 200 a quantile is off by at most 1.65 % of the ranks, with 99 % confidence
+# (the error falls almost as 1 / SKETCH_K; a sketch holds some three times as many values).
+SKETCH_K = 200
+SKETCH_RANK_ERROR = 0.0165
+
+
+def quantile_sketches(
+    df: DataFrame, value: str, time: str, labels: Sequence[str] = (), k: int = SKETCH_K
+) -> DataFrame:
+    """A mergeable sketch of an integer column per label and minute, with its rows as ``n``.
+
+    Null values are not counted. Keep this table where quantiles over many windows or long spans are
+    wanted: windows merge sketches of a few hundred values and never see rows again.
     """
-    skew = F.col("processing_time") - F.col("event_time")
-    points = F.percentile(skew, F.array(*[F.lit(q) for q in QUANTILES]))
     return (
-        df.groupBy(key)
-        .agg(points.alias("_q"), F.count(F.lit(1)).alias("events"))
-        .select(key, "events", *[F.get("_q", F.lit(i)).alias(f"skew_p{int(q * 100)}_ms") for i, q in enumerate(QUANTILES)])
+        df.where(F.col(value).isNotNull())
+        .withColumn("minute", F.expr(f"`{time}` div {MINUTE_MS}L"))
+        .groupBy(*labels, "minute")
+        .agg(
+            F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), k).alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+
+
+def _sketched(quantiles: Sequence[float]) -> Column:
+    ranks = F.array(*[F.lit(float(q)) for q in quantiles])
+    return F.kll_sketch_get_quantile_bigint("sketch", ranks)
+
+
+def sliding_quantiles(
+    sketches: DataFrame, labels: Sequence[str] = (), minutes: int = 5, quantiles: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """Approximate quantiles over windows that end at each full minute, as ``values`` in order.
+
+    Each value is one of the column's, its rank off by at most ``SKETCH_RANK_ERROR`` (see there). A window
+    that holds no row is absent.
+    """
+    ends = F.explode(F.sequence(F.col("minute") + 1, F.col("minute") + minutes))
+    return (
+        sketches.withColumn("_end", ends)
+        .groupBy(*labels, "_end")
+        .agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("n").alias("n"))
+        .select(
+            *labels, (F.col("_end") * MINUTE_MS).alias("window_end"), "n", _sketched(quantiles).alias("values")
+        )
+    )
+
+
+def clock_skew_sketched(df: DataFrame, key: str = "api_key_id", k: int = SKETCH_K) -> DataFrame:
+    """``clock_skew`` in bounded memory per key, whatever the clocks: values with a rank error as stated there."""
+    sketches = df.groupBy(key).agg(
+        F.kll_sketch_agg_bigint(_skew(), k).alias("sketch"), F.count(F.lit(1)).alias("events")
     )
+    return _by_name(sketches.withColumn("_q", _sketched(QUANTILES)), key)
