@@ -882,6 +882,50 @@ def _latency_alerts(spark, sf_dir):
     ).withColumn("value", F.round("value", 6))
 
 
+PUBLISHED = "pub AS (SELECT processing_time, processing_time - event_time + source_offset % 61 - 40 AS ms FROM txn)"
+
+
+@register(
+    "publish_latency_alerts",
+    sql.with_(
+        sql.txn(60),
+        PUBLISHED,
+        f"spots AS (SELECT (processing_time // {MINUTE} + s) * {MINUTE} AS window_end, le, "
+        "count(*) FILTER (ms <= le) AS cumulative FROM pub, range(1, 6) r(s), "
+        f"{_bounds(metrics.PUBLISH_BOUNDS)} GROUP BY 1, 2)",
+        """spread AS (SELECT window_end, le, cumulative, coalesce(lag(cumulative) OVER w, 0) AS below,
+  coalesce(lag(le) OVER w, 0) AS lower, 0.99 * max(cumulative) OVER (PARTITION BY window_end) AS target
+  FROM spots WINDOW w AS (PARTITION BY window_end ORDER BY le))""",
+        """p99 AS (SELECT window_end, round(CASE WHEN isinf(le) THEN lower
+    ELSE lower + (le - lower) * (target - below) / (cumulative - below) END, 6) AS value
+  FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY le) AS rank FROM spread
+    WHERE cumulative >= target) WHERE rank = 1)""",
+    )
+    + _held_sql("SELECT * FROM p99", metrics.PUBLISH_LATENCY),
+)
+def _publish_latency_alerts(spark, sf_dir):
+    """p99 of the time from event to log, shifted so that some windows stay below the limit."""
+    rows = tables.transactions(spark, sf_dir, 60)
+    taken = F.col("processing_time") - F.col("event_time") + F.col("source_offset") % 61 - 40
+    return metrics.latency_alerts(
+        rows.withColumn("ms", taken), "ms", "processing_time", metrics.PUBLISH_BOUNDS, metrics.PUBLISH_LATENCY
+    ).withColumn("value", F.round("value", 6))
+
+
+@register(
+    "checkpoint_failure_alerts",
+    sql.with_(sql.txn(60))
+    + _held_sql(
+        f"SELECT (m + s) * {MINUTE} AS window_end, count(*) AS value FROM (SELECT event_time // {MINUTE} AS m "
+        "FROM txn WHERE source_offset % 9 = 0), range(1, 6) r(s) GROUP BY 1",
+        metrics.CHECKPOINT_FAILURES,
+    ),
+)
+def _checkpoint_failure_alerts(spark, sf_dir):
+    failures = tables.transactions(spark, sf_dir, 60).where(F.col("source_offset") % 9 == 0)
+    return metrics.failure_alerts(failures, "event_time")
+
+
 @register(
     "error_rate_alerts",
     sql.with_(sql.txn(60))
