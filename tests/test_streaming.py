@@ -203,6 +203,14 @@ def test_five_devices_use_all_tasks(spark):
     assert max(r["count"] for r in tasks) < 2 * len(data) / len(tasks)
 
 
+def test_package_is_sent_once(spark):
+    """A cluster refuses a second archive of the same name from another folder."""
+    ship_package(spark)
+    before = sorted(spark.sparkContext.listFiles)
+    ship_package(spark)
+    assert sorted(spark.sparkContext.listFiles) == before
+
+
 def test_stream_dedup_over_restarts(spark):
     batches = [[("t", "a", "k", T0, 1), ("t", "a", "k", T0 + 1, 1)], [("t", "a", "k", T0 + DAY_MS, 1), ("u", "a", "k", T0, 1)]]
     found = run(spark, batches, routed)

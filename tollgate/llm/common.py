@@ -21,14 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ready(spark: SparkSession) -> None:
-    """Make this package importable on the executors, once per session."""
-    context = spark.sparkContext
-    if not getattr(context, "_tollgate_shipped", False):
-        ship_package(spark)
-        context._tollgate_shipped = True
-
-
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A setting of the session for the jobs inside."""
@@ -54,7 +46,7 @@ class Store:
     """Intermediate tables in the shared folder, dropped when they are no longer needed."""
 
     def __init__(self, spark: SparkSession, name: str):
-        ready(spark)
+        ship_package(spark)
         self.spark, self.name = spark, name
 
     def path(self, name: str) -> str:

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ready, text_steps
+from tollgate.llm.common import text_steps
+from tollgate.session import ship_package
 
 #: Letter symbols: 0 is the border of a word, 1-26 are a-z, the others share the rest by code point.
 SYMBOLS = 64
@@ -95,7 +96,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     Tasks count trigrams and Spark adds the counts up by language, so the driver gets at most one
     number per trigram code and language, for at most MAX_LANGUAGES languages (more are an error).
     """
-    ready(docs.sparkSession)
+    ship_package(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
@@ -148,7 +149,7 @@ def identify(
     columns not in keep are not read, no rows give no rows; a column in keep may have any type but
     not the names lang_pred or score; the text itself may be in it.
     """
-    ready(docs.sparkSession)
+    ship_package(docs.sparkSession)
     langs, prototypes = model
     rows = docs.select(*dict.fromkeys((*keep, text)))
     fields = rows.schema.fields[: len(keep)]

@@ -126,10 +126,17 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, which need it for the stateful processors."""
+    """Send this package to the executors, which need it for Python functions; once per application.
+
+    A cluster refuses a second file of the same name from another folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tollgate_shipped", False):
+        return
     root = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="tollgate-pkg-")
     archive = shutil.make_archive(
         os.path.join(folder, "tollgate_pkg"), "zip", os.path.dirname(root), "tollgate"
     )
-    spark.sparkContext.addPyFile(archive)
+    context.addPyFile(archive)
+    context._tollgate_shipped = True
