@@ -22,10 +22,11 @@ from tollgate.operators import geo as geo_op
 from tollgate.operators import velocity as vel
 from tollgate.plans.enrichment import enrich
 from tollgate.plans.processing import Processed, process
-from tollgate.session import fresh_path, ship_package, state_settings, write_durable
+from tollgate.session import fresh_path, state_settings, write_durable
 from tollgate.sources import event_log, generator
 from tollgate.streaming.commits import Commits
-from tollgate.streaming.enrich import read_valid, start_enrich, stream_dedup
+from tollgate.streaming.dedup import ACCEPTED, start_dedup
+from tollgate.streaming.enrich import read_valid, start_enrich
 from tollgate.streaming.progress import ProgressLog
 from tollgate.streaming.route import start_route
 
@@ -1444,7 +1445,6 @@ def _stream_dedup_returns(spark, sf_dir):
     # the watermark under which the second run's rows were routed: none of them is behind it
     lowest = rows.where(F.col("copy") >= 5).agg(F.min("event_time")).first()[0]
     root = fresh_path(spark, "returns")
-    ship_package(spark)
     for part, watermark in ((F.col("copy") < 5, None), (F.col("copy") >= 5, lowest)):
         mark = F.lit(watermark).cast("bigint").alias("routed_watermark")
         rows.where(part).drop("copy").select("*", mark).write.mode("append").parquet(f"{root}/in")
@@ -1452,11 +1452,8 @@ def _stream_dedup_returns(spark, sf_dir):
             "transaction_id string, event_time bigint, source_topic string, source_partition int, "
             "source_offset bigint, routed_watermark bigint"
         ).parquet(f"{root}/in")
-        with state_settings(spark):
-            writer = stream_dedup(stream, STREAM_CFG).writeStream.format("parquet").outputMode("append")
-            writer = writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
-            writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("transaction_id", "event_time")
+        start_dedup(stream, f"{root}/out", f"{root}/checkpoint", STREAM_CFG, once=True).awaitTermination()
+    return Commits(spark, f"{root}/out").read("kept", ACCEPTED)
 
 
 @register(

@@ -15,7 +15,8 @@ from tollgate.sources import event_log
 from tollgate.streaming.commits import Commits
 from tollgate.config import SkewConfig
 from tollgate.streaming.device import SEGMENTS, batch_device, next_segments
-from tollgate.streaming.enrich import stream_dedup
+from tollgate.streaming.dedup import ACCEPTED, batch_dedup, near_times, next_times, start_dedup
+from tollgate.streaming.enrich import stream_dedup, write_batch
 from tollgate.streaming.velocity import FAN, PARTIALS, batch_velocity, joined_pieces, live_pieces, next_piece
 from tollgate.streaming.progress import ProgressLog, progress_frame, watermark_age
 from tollgate.streaming.route import route_batch, start_route
@@ -237,6 +238,74 @@ def test_stream_dedup_drops_copies_of_an_early_row_after_a_later_one(spark):
         assert kept_times(spark, batches)["t"] == [T0, T0 + 60 * hour, T0 + 108 * hour]
 
 
+def accepted_by_hand(batches, ttl):
+    accepted, kept = {}, []
+    for place, (name, time) in enumerate(row for batch in batches for row in batch):
+        own = accepted.setdefault(name, [])
+        if all(abs(time - other) >= ttl for other in own):
+            own.append(time)
+            kept.append(place)
+    return kept
+
+
+@pytest.mark.parametrize("records", [1, 3, 10_000])
+def test_batch_dedup_over_batches(spark, records):
+    """One id has a third of the rows, some have one, some none; ids go on from one Arrow batch to the next."""
+    ship_package(spark)
+    ttl, rng, before = 1000, random.Random(records), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    names = ["hot", None, "", *(f"i{n}" for n in range(40))]
+    batches = [
+        [(names[0] if i % 3 == 0 else rng.choice(names), T0 + rng.randrange(0, 12_000, 250)) for i in range(size)]
+        for size in (120, 1, 90)
+    ]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    try:
+        state, found, number = spark.createDataFrame([], ACCEPTED), [], 0
+        for batch in batches:
+            data = [(name, "a", "k", time, Decimal(1), 0, number + i) for i, (name, time) in enumerate(batch)]
+            number += len(batch)
+            frame = spark.createDataFrame(data, ROW).repartition(4)
+            times = [time for _, time in batch]
+            near = near_times(state, min(times), max(times), ttl)
+            kept = batch_dedup(frame, near, ttl)
+            found += [r.source_offset for r in kept.collect()]
+            state = spark.createDataFrame(next_times(kept, state, None, ttl, 0).collect(), ACCEPTED)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(found) == accepted_by_hand(batches, ttl)
+
+
+def test_old_accepted_times_leave_the_state(spark):
+    old = spark.createDataFrame([("a", T0 - 3 * DAY_MS), ("a", T0 - 2 * DAY_MS), ("b", T0)], ACCEPTED)
+    kept = next_times(spark.createDataFrame([("c", T0 + 5)], ACCEPTED), old, T0, 2 * DAY_MS, 30_000).collect()
+    assert sorted(r.event_time for r in kept) == [T0 - 2 * DAY_MS, T0, T0 + 5]
+
+
+def test_dedup_query_has_no_keyed_state(spark):
+    """Over restarts, as the keyed query does, but without a call to a state store for every id."""
+    root, hour = fresh_path(spark, "test-dedup"), 3_600_000
+    for number, hours in enumerate([(60, 0, 0), (10, 12, 60), (108, 107)]):
+        data = [("t", T0 + h * hour, "txn", 0, 10 * number + i, None) for i, h in enumerate(hours)]
+        columns = "transaction_id string, event_time bigint, source_topic string, source_partition int, source_offset bigint, routed_watermark bigint"
+        spark.createDataFrame(data, columns).write.mode("append").parquet(f"{root}/in")
+        query = start_dedup(spark.readStream.schema(columns).parquet(f"{root}/in"), f"{root}/out", f"{root}/checkpoint", once=True)
+        query.awaitTermination()
+        assert query.recentProgress and not any(report.stateOperators for report in query.recentProgress)
+    times = sorted(r.event_time for r in Commits(spark, f"{root}/out").read("kept", ACCEPTED).collect())
+    assert times == [T0, T0 + 60 * hour, T0 + 108 * hour]
+
+
+def test_batch_of_the_enrichment_drops_repeats_itself(spark):
+    """Its accepted times commit with the records: a replay, and a row of a later batch, find them."""
+    root, cfg = fresh_path(spark, "test-enrich"), ProcessorConfig()
+    rows = tables.transactions(spark, SF, repeats=tables.NEAR_REPEATS, late=False).where("source_offset < 400")
+    rows = rows.withColumn("routed_watermark", F.lit(None).cast("bigint"))
+    for batch_id in (0, 0, 1):
+        write_batch(rows, batch_id, root, tables.blocks(spark), cfg, F.col("processing_time"))
+    names = [r.transaction_id for r in Commits(spark, root).read("enriched", schemas.ENRICHED).collect()]
+    assert len(names) == len(set(names)) == rows.select("transaction_id").distinct().count() < rows.count()
+
+
 def routed(df):
     """Rows as the route query accepts them: the slowest row is 90 hours back, the watermark behind it."""
     names = {"source_topic": F.lit("txn"), "routed_watermark": F.col("event_time") * 0 + T0 - 4 * DAY_MS}

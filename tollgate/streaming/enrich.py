@@ -1,4 +1,4 @@
-"""Second query: dedup as keyed state; velocity, device, geo and assembly per micro-batch."""
+"""Second query: dedup, velocity, device, geo and assembly per micro-batch."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from tollgate.operators.geo import geolocate
 from tollgate.schemas import DECODED, SOURCE
 from tollgate.session import ship_package
 from tollgate.streaming.commits import Commits
+from tollgate.streaming.dedup import ACCEPTED, batch_dedup, near_times, next_times
 from tollgate.streaming.device import SEGMENTS, batch_device, next_segments
 from tollgate.streaming.processors import DedupProcessor
 from tollgate.streaming.velocity import batch_velocity, joined_pieces, live_pieces, next_piece, read_pieces
@@ -42,6 +43,9 @@ def read_valid(spark: SparkSession, root: str, cfg: ProcessorConfig) -> DataFram
 def stream_dedup(rows: DataFrame, cfg: ProcessorConfig | None = None) -> DataFrame:
     """Drop rows less than the ttl from an accepted row of their id. Adds ``event_ts``, the clock.
 
+    This is keyed Python state, for streams that go on to a sink of their own: calls to the state store
+    for every id bound its speed. ``start_enrich`` and ``start_dedup`` keep the same rows by a table.
+
     The clock of the query is the watermark by which the route query accepted a row, not the row's
     own time: it never outruns acceptance, so a slow partition or a row from the future loses nothing.
     Rows from before the first watermark stand just behind the start of the clock, which is 0: a row
@@ -69,9 +73,11 @@ def write_batch(
     enrichment_time: Column | None = None,
     reached: Callable[[str], None] | None = None,
 ) -> None:
-    """Finish one micro-batch; its records, dead letters, velocity and device state are committed together, once."""
-    batch = batch.persist()
-    held = [batch]
+    """Finish one micro-batch of valid rows, repeats included.
+
+    Its records, dead letters, accepted times, velocity and device state are committed together, once.
+    """
+    held = []
     commits = Commits(batch.sparkSession, path, reached)
 
     def outputs() -> dict[str, DataFrame]:
@@ -79,31 +85,37 @@ def write_batch(
             raise FileNotFoundError(f"no commit of batch {batch_id - 1} under {path}")
         pieces = partial(read_pieces, batch.sparkSession, f"{path}/velocity")
         devices = partial(read_pieces, batch.sparkSession, f"{path}/device", schema=SEGMENTS)
+        accepted = partial(read_pieces, batch.sparkSession, f"{path}/accepted", schema=ACCEPTED)
         live, joined = live_pieces(batch_id), joined_pieces(batch_id)
-        clock, oldest = batch.agg(F.max("routed_watermark"), F.min("event_time")).first()
+        clock, oldest, latest = batch.agg(
+            F.max("routed_watermark"), F.min("event_time"), F.max("event_time")
+        ).first()
+        near = near_times(accepted(live), oldest, latest, cfg.dedup_ttl_ms)
+        kept = batch_dedup(batch, near, cfg.dedup_ttl_ms).persist()
+        held.append(kept)
+        times = next_times(kept, accepted(joined), clock, cfg.dedup_ttl_ms, cfg.lateness_ms)
         state = pieces(live)
         if oldest is not None:
             state = state.where(F.col("minute") >= (oldest - DAY_MS) // MINUTE_MS)
-        counted = batch_velocity(batch, state, cfg.skew)
-        piece = next_piece(batch, pieces(joined), clock, cfg.lateness_ms)
-        placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence, base=batch)
+        counted = batch_velocity(kept, state, cfg.skew)
+        piece = next_piece(kept, pieces(joined), clock, cfg.lateness_ms)
+        placed = geolocate(counted, blocks, cfg.skew, cfg.geo_confidence, base=kept)
         # records and letters are two outputs of these rows, which are worked out once
-        profiled = batch_device(placed, devices(live), cfg.skew, cfg.device_idle_ms, base=batch).persist()
+        profiled = batch_device(placed, devices(live), cfg.skew, cfg.device_idle_ms, base=kept).persist()
         held.append(profiled)
         stay = [number for number in live if number not in joined]
         replaced = devices(joined) if joined else None
-        history = next_segments(batch, replaced, devices(stay), clock, cfg.lateness_ms, cfg.device_idle_ms)
+        history = next_segments(kept, replaced, devices(stay), clock, cfg.lateness_ms, cfg.device_idle_ms)
         good, letters = split_overflow(
             profiled, enrichment_time, dlq_id=stable_id(F.lit("enrichment"))
         )
         records = assemble(good, cfg, enrichment_time)
-        return {"enriched": records, "dlq": letters, "velocity": piece, "device": history}
+        return {"enriched": records, "dlq": letters, "accepted": times, "velocity": piece, "device": history}
 
     try:
-        if not commits.commit(batch_id, outputs):
-            # an earlier attempt's outputs stand, but the state of this batch has to be written still
-            batch.write.format("noop").mode("overwrite").save()
+        commits.commit(batch_id, outputs)
         for replaced in joined_pieces(batch_id):
+            commits.remove("accepted", replaced)
             commits.remove("velocity", replaced)
             commits.remove("device", replaced)
     finally:
@@ -125,9 +137,7 @@ def start_enrich(
     cfg = cfg or ProcessorConfig()
     ship_package(rows.sparkSession)
     writer = (
-        stream_dedup(rows, cfg)
-        .writeStream.queryName("enrich")
-        .outputMode("append")
+        rows.writeStream.queryName("enrich")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(
             lambda batch, batch_id: write_batch(
