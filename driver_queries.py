@@ -521,8 +521,11 @@ def _dead(spark, sf_dir):
     "WHERE decode_error LIKE 'Schema ID%'",
 )
 def _replay(spark, sf_dir):
-    """Letters refused for their schema id, decoded again without that expectation."""
-    letters = dlq.schema_failures(_decoded(spark, sf_dir))
+    """Letters refused for their schema id, decoded again without that expectation.
+
+    The letters are a table, as a stage writes them: the log is decoded once, for all that is read from them.
+    """
+    letters = write_durable(dlq.schema_failures(_decoded(spark, sf_dir)), "letters")
     wanted = letters.where(F.col("error_message").startswith("Schema ID")).select(
         *schemas.SOURCE.fieldNames()
     )

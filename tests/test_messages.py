@@ -7,6 +7,7 @@ import pytest
 from support import SF, T0
 from pyspark.sql import functions as F
 
+import driver_queries
 import driver_tables as tables
 from tollgate import schemas
 from tollgate.config import ProcessorConfig
@@ -136,3 +137,25 @@ def test_replay_selects_by_coordinates(spark):
     letters = dlq.schema_failures(frame.decode(log, "json", 1))
     one = letters.select(*schemas.SOURCE.fieldNames()).limit(1)
     assert dlq.replay_selection(letters, one).count() == 1
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_computed_value_is_worked_out_once_per_filter(spark):
+    """A filter takes over the expressions it names; value must not be repeated in them."""
+    log = spark.range(5).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.concat(F.unhex(F.lit("0000000001")), F.soundex(F.col("id").cast("string")).cast("binary")).alias("value"),
+    )
+    bad = frame.decode(log, "json", 1).where(F.col("decode_error").isNotNull())
+    assert bad.count() == 5
+    filters = [line for line in optimized(bad).split("\n") if "Filter " in line]
+    assert [line.count("soundex") for line in filters] == [1]
+
+
+def test_replay_reads_the_letters_and_not_the_log_again(spark):
+    """The log is decoded once, for the letters; what is selected and replayed comes from their table."""
+    again = driver_queries.QUERIES["replay_mismatched_schema"](spark, SF)
+    assert "event_type" not in optimized(again) and again.count() > 0
