@@ -326,3 +326,18 @@ def test_empty_tables(spark, empty):
     path = fresh_path(spark, "test")
     write_token_files(empty, path, public_tokenizers.path("byte_bpe_50k.json"))
     assert read_token_files(spark, path).collect() == []
+
+
+def test_token_files_pass_small_batches_to_python(spark, monkeypatch):
+    """A batch of 64 MB, in the JVM and again in Python, is too much beside the tokenizer."""
+    seen, keep = [], Store.keep
+
+    def noted(self, df, name, *partition_by):
+        seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")))
+        return keep(self, df, name, *partition_by)
+
+    monkeypatch.setattr(Store, "keep", noted)
+    path = fresh_path(spark, "token-files")
+    write_token_files(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    assert len(read_token_files(spark, path).collect()) == 1
+    assert dict(seen) == {"ids": "8m", "docs": "8m"}
