@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tollgate.llm import superminhash
 from tollgate.llm.common import Store
 from tollgate.llm.components import components
 from tollgate.llm.language import identify, learn
@@ -82,6 +83,42 @@ def test_near_duplicates_of_a_large_group(spark):
     assert found == root
 
 
+def test_near_duplicates_of_a_common_passage(spark, monkeypatch):
+    """Documents with a long passage in common, too little for links, are not compared in pairs; near copies link."""
+    rng = random.Random(11)
+
+    def words(count):
+        return [f"w{rng.randrange(10**6)}" for _ in range(count)]
+
+    passage, docs = words(160), []
+    for i in range(150):
+        own = words(rng.choice([28, 30, 40, 55]))
+        docs.append(own[: len(own) // 2] + passage + own[len(own) // 2 :])
+        if i % 10 == 0:
+            near = [*docs[-1]]
+            near[rng.randrange(len(near))] = "changed"
+            docs.append(near)
+    compared, confirm = [], superminhash.confirmed
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return confirm(pairs, *rest)
+
+    monkeypatch.setattr(superminhash, "confirmed", counted)
+    rows = spark.createDataFrame([(i, " ".join(text)) for i, text in enumerate(docs)], "doc_id long, text string")
+    found = {row.doc_id: row.component_id for row in near_duplicates(rows).collect()}
+    sets = [{tuple(text[i : i + 5]) for i in range(len(text) - 4)} for text in docs]
+    expected = list(range(len(docs)))
+    for b in range(len(docs)):
+        for a in range(b):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = sorted((expected[a], expected[b]), reverse=True)
+                expected = [new if one == old else one for one in expected]
+    assert found == dict(enumerate(expected))
+    assert 15 <= len(docs) - len(set(expected)) < 30
+    assert sum(compared[1:]) < len(docs)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     shared, one, two = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (300, 100, 100))

@@ -140,10 +140,10 @@ def near_duplicates(
     forms all its pairs: a round compares its pivots (smallest ids) with the members that are not yet
     in their component, then leaves the pivots out; buckets with one component left are finished, and
     later rounds take more pivots. So a large group of near copies costs about one comparison a
-    member. After the first round, shingles are counted over the documents still open: one that
-    shares fewer than percent / 100 of its own with any others cannot be linked and leaves, which
-    frees the buckets of documents that have only a common passage together. All other pairs of
-    different components that share a bucket are compared.
+    member. After the first round, documents still open leave the bands for buckets of their rarest
+    shingles, in which all similar sets meet; documents that have only a common passage together meet
+    late in that order or not at all, and entries with too little left after it leave their bucket.
+    All other pairs of different components that share a bucket are compared.
 
     A document without words has no set, is linked with nothing and kept. A null doc_id cannot be
     named: its row takes no part, is kept and has a null component_id. Rows that share a doc_id share
@@ -175,17 +175,19 @@ def near_duplicates(
         leading = leaders(entries, pivots)
         pairs = candidates(entries, leading, percent)
         found = store.keep(confirmed(pairs, sets, percent), "found")
-        roots = components(store, links.unionByName(found))
         following = entries.join(leading.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti")
-        following = relabelled(following.drop("node"), roots)
-        store.drop(links)
-        links, following = roots, store.keep(following, "entries")
-        left = store.keep(unfinished(following), "entries")
+        if not found.isEmpty():
+            roots = components(store, links.unionByName(found))
+            following = relabelled(following.drop("node"), roots)
+            store.drop(links)
+            links = roots
+        following = store.keep(following, "entries")
+        left = store.keep(unfinished(following if turn == 0 else within_reach(following, percent)), "entries")
         store.drop(entries, following, found)
         if turn == 0:
-            able = linkable(left, sets, percent)
-            following, left = left, store.keep(unfinished(able), "entries")
-            store.drop(following)
+            met = store.keep(rarest(left, sets, percent), "entries")
+            following, left = left, store.keep(unfinished(within_reach(met, percent)), "entries")
+            store.drop(following, met)
         entries, turn = left, turn + 1
     store.drop(entries, sets)
 
@@ -214,19 +216,46 @@ def unfinished(entries: DataFrame) -> DataFrame:
     return entries.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi")
 
 
-def linkable(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Entries whose documents have enough shingles in common with other open documents.
+def rarest(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Entries of the same documents in other buckets: one for each of their rarest shingles.
 
-    A link needs percent / 100 of the union, hence of each set, in the intersection. n_common becomes
-    the number of a document's shingles that another open document has: a bound on any intersection.
+    A link needs percent / 100 of a set in the intersection. With all shingles in one order, rarest
+    first, a set has the first that it shares with a similar one while at least that many are left, and
+    all that they share lies from there on: n_common, the shingles left from a bucket's on, bounds the
+    intersection of two sets that meet there first. Similar sets meet so without fail. Shingles
+    are counted over the open documents, and one that a single document has makes no bucket.
     """
     open_sets = sets.join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
-    elements = open_sets.select("doc_id", F.explode("shingles").alias("shingle"))
-    span = elements.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    several = span.where("low <> high").select("shingle").hint("shuffle_hash")
-    common = elements.join(several, "shingle").groupBy("doc_id").agg(F.count("*").alias("n_common"))
-    able = entries.drop("n_common").join(common, "doc_id")
-    return able.where(100 * F.col("n_common") >= percent * F.col("n_shingles"))
+    elements = open_sets.select(
+        "doc_id",
+        F.size("shingles").cast("long").alias("n_shingles"),
+        F.xxhash64("shingles").alias("set"),
+        F.explode("shingles").alias("bucket"),
+    )
+    several = elements.groupBy("bucket").agg(
+        F.count("*").alias("times"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    )
+    several = several.where("low <> high").select("bucket", "times").hint("shuffle_hash")
+    # rows that share a doc_id may have other sets, or the same set again
+    order = Window.partitionBy("doc_id", "set").orderBy(F.desc("times"), F.desc("bucket"))
+    ranked = elements.join(several, "bucket").withColumn("n_common", F.dense_rank().over(order).cast("long"))
+    first = ranked.where(100 * F.col("n_common") >= percent * F.col("n_shingles"))
+    nodes = entries.select("doc_id", "node").distinct()
+    return first.select("doc_id", "n_shingles", "bucket", "n_common").distinct().join(nodes, "doc_id")
+
+
+def within_reach(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries that can be similar enough to some member of their bucket, by sizes and shingles left.
+
+    A pair needs (100 + percent) * n_common >= percent * (sum of both sizes) on either side, so its
+    smaller set must reach its own size: a bucket without such a set has no pairs, and the sizes of
+    all others lie between those of the smallest such set and the furthest that one reaches.
+    """
+    own = percent * F.col("n_shingles")
+    reach = (100 + percent) * F.col("n_common") - own
+    span = entries.where(reach >= own).groupBy("bucket").agg(F.min(own).alias("least"), F.max(reach).alias("most"))
+    near = entries.join(span, "bucket").where(own.between(F.col("least"), F.col("most")) & (reach >= F.col("least")))
+    return near.drop("least", "most")
 
 
 def leaders(entries: DataFrame, pivots: int) -> DataFrame:
