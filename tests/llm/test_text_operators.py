@@ -255,6 +255,16 @@ def test_encoder_on_random_texts(name, kept_bytes):
         assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_bytes_of_chunks_go_to_the_model(name):
+    """Chunks are taken as bytes, letters and marks without a string for each; ids as the library gives them."""
+    coder = Encoder(public_tokenizers.path(name))
+    texts = [" word", "Word", " Éñß", "ÿ", "...", " ?!", "'", " don't", "×", " a÷", "漢", "\u00a0", " ", "\n ", "  a", "A1", "e\u0301"]
+    want = [coder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert coder.chunk_ids([text.encode() for text in texts]) == want
+    assert [coder.chunk_ids([text.encode()])[0] for text in texts] == want
+
+
 def test_more_than_100_000_token_files_are_in_order(spark):
     name = F.format_string("file:/a/part-7/ids/part-%05d-0aa1-part-99-c000.txt", "id")
     rows = spark.range(99_990, 100_020).withColumn("path", name)

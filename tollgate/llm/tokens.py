@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 from itertools import chain
 
@@ -11,9 +10,6 @@ import numpy as np
 import pyarrow as pa
 
 OTHER, SPACE, LETTER, MARK = range(4)
-#: A chunk that the tokenizer's model can take without normaliser and pre-tokenizer.
-LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MARKS = re.compile(r" ?[!-&(-/:-@\[-`{-~]+")
 #: Bytes that the chunks kept by an encoder may take, about, before it starts anew.
 KEPT_BYTES = 64_000_000
 #: What a kept chunk takes beside its bytes, and what each of its ids takes.
@@ -56,24 +52,25 @@ class Chunks:
         self.lengths, self.firsts, self.ids = (np.zeros(0, np.int64) for _ in range(3))
 
     def numbers(self, chunks: list[bytes], ids_of) -> np.ndarray:
-        """The chunks' numbers; ids_of gives the ids of those that are new, as many as they may be."""
+        """The distinct chunks' numbers; ids_of gives the ids of those that are new, as many as they may be."""
         if self.bytes > self.kept_bytes:
             self.clear()
         get = self.number.get
-        found = [get(chunk, -1) for chunk in chunks]
-        new = [chunk for chunk, number in zip(chunks, found, strict=True) if number < 0]
+        found = np.array([get(chunk, -1) for chunk in chunks], np.int64)
+        unknown = np.flatnonzero(found < 0)
+        new = [chunks[i] for i in unknown.tolist()]
         if new:
-            ids = ids_of([chunk.decode("utf-8", "replace") for chunk in new])
+            ids = ids_of(new)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
             first = len(self.ids) + np.cumsum(lengths) - lengths
-            self.number.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
+            found[unknown] = len(self.lengths) + np.arange(len(new))
+            self.number.update(zip(new, found[unknown].tolist(), strict=True))
             self.lengths = np.concatenate([self.lengths, lengths])
             self.firsts = np.concatenate([self.firsts, first])
             self.ids = np.concatenate([self.ids, flat])
             self.bytes += sum(map(len, new)) + ENTRY_BYTES * len(new) + ID_BYTES * len(flat)
-            found = [get(chunk) if number < 0 else number for chunk, number in zip(chunks, found, strict=True)]
-        return np.array(found, np.int64)
+        return found
 
 
 class Encoder:
@@ -102,13 +99,18 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [one.ids for one in found]
 
-    def cuts(self, data: np.ndarray) -> np.ndarray:
-        """True at each byte that starts a chunk."""
+    def kinds(self, data: np.ndarray) -> np.ndarray:
+        """The class of each byte."""
         kind = self.classes[data]
         # both bytes of a Latin-1 letter count as letter; not the signs for times and division
         lead = np.flatnonzero(data[:-1] == 0xC3)
         lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
         kind[lead] = kind[lead + 1] = LETTER
+        return kind
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """True at each byte that starts a chunk."""
+        kind = self.kinds(data)
         before, after = kind[:-1], kind[1:]
         cut = ((before == LETTER) | (before == MARK)) & (after == SPACE)
         cut |= (before == LETTER) & (after == MARK) | (before == MARK) & (after == LETTER)
@@ -118,18 +120,29 @@ class Encoder:
         starts[1:] = cut
         return starts
 
-    def chunk_ids(self, chunks: list[str]) -> list[list[int]]:
-        ids: list = [None] * len(chunks)
-        rest, model, letters = [], self.tokenizer.model, self.byte_letters
-        for i, chunk in enumerate(chunks):
-            if self.plain and not chunk.strip(" \t\n\r\x0b\x0c"):
-                ids[i] = []
-            elif (LETTERS.fullmatch(chunk) or MARKS.fullmatch(chunk)) and not (self.plain and chunk[0] == " "):
-                raw = (chunk.lower() if self.plain else chunk).encode()
-                ids[i] = [token.id for token in model.tokenize(raw.decode("latin-1").translate(letters))]
-            else:
-                rest.append(i)
-        for i, found in zip(rest, self.encode_all([chunks[i] for i in rest]), strict=True):
+    def chunk_ids(self, chunks: list[bytes]) -> list[list[int]]:
+        """Ids of each chunk; only letters, or marks, after at most a space go straight to the model."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        firsts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(chunks), np.uint8)
+        kind = self.kinds(data)
+        spaces, letters, marks = (np.add.reduceat(kind == one, firsts, dtype=np.int64) for one in (SPACE, LETTER, MARK))
+        blank = self.plain & (spaces == sizes)
+        bare = sizes - ((data[firsts] == 32) & (not self.plain))
+        simple = (bare > 0) & ((letters == bare) | (marks == bare))
+
+        ids: list = [[] for _ in chunks]
+        places = np.flatnonzero(simple).tolist()
+        text = "\n".join([chunks[i].decode() for i in places])
+        text = (text.lower() if self.plain else text).encode().decode("latin-1")
+        for letter in set(text) - {"\n"}:
+            text = text.replace(letter, self.byte_letters[ord(letter)])
+        tokenize = self.tokenizer.model.tokenize
+        for i, word in zip(places, text.split("\n")):  # without places the text is one empty word
+            ids[i] = [token.id for token in tokenize(word)]
+        rest = np.flatnonzero(~simple & ~blank).tolist()
+        whole = self.encode_all([chunks[i].decode("utf-8", "replace") for i in rest])
+        for i, found in zip(rest, whole, strict=True):
             ids[i] = found
         return ids
 
@@ -155,7 +168,11 @@ class Encoder:
         chunks = pa.Array.from_buffers(
             pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        which = self.chunks.numbers(chunks.dictionary.to_pylist(), self.chunk_ids)[chunks.indices.to_numpy()]
+        _, places, joined = chunks.dictionary.buffers()
+        places = np.frombuffer(places, np.int32, len(chunks.dictionary) + 1).tolist()
+        joined = joined.to_pybytes()
+        distinct = [joined[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+        which = self.chunks.numbers(distinct, self.chunk_ids)[chunks.indices.to_numpy()]
         counts = self.chunks.lengths[which]
         ends = np.cumsum(counts)
         taken = self.chunks.ids[np.repeat(self.chunks.firsts[which] - (ends - counts), counts) + np.arange(ends[-1])]
