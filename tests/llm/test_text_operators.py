@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tollgate.llm import superminhash
+from tollgate.llm import superminhash, tokens
 from tollgate.llm.common import Store
 from tollgate.llm.components import components
 from tollgate.llm.language import identify, learn
@@ -265,6 +265,37 @@ def test_bytes_of_chunks_go_to_the_model(name):
     assert [coder.chunk_ids([text.encode()])[0] for text in texts] == want
 
 
+def test_chunks_met_again_stay_at_the_bound():
+    """Rare chunks fill the store again and again; the frequent ones between them go to the model twice at most."""
+    coder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    coder.chunks = Chunks(40_000)
+    seen, chunk_ids = Counter(), coder.chunk_ids
+
+    def counted(chunks):
+        seen.update(chunks)
+        return chunk_ids(chunks)
+
+    coder.chunk_ids = counted
+    frequent = [f" {a}{b}qu" for a in "abcdefghij" for b in "lmnop"]
+    rng, taken = random.Random(3), []
+    for _ in range(40):
+        rare = [" " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(150)]
+        text = "".join(frequent + rare)
+        ids, _ = coder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        taken.append(coder.chunks.taken())
+    assert sum(b < a for a, b in zip(taken, taken[1:], strict=False)) > 3
+    assert max(seen[one.encode()] for one in frequent) <= 2
+
+
+def test_chunks_of_equal_hash_keep_their_own_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "run_hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
+    coder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("the words of one text", "of other words", "the the one", "words"):
+        ids, _ = coder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_more_than_100_000_token_files_are_in_order(spark):
     name = F.format_string("file:/a/part-7/ids/part-%05d-0aa1-part-99-c000.txt", "id")
     rows = spark.range(99_990, 100_020).withColumn("path", name)

@@ -42,9 +42,9 @@ def unpack_ranks(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarra
     lengths = LENGTHS[control].reshape(-1)[:count]
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    ranks = np.zeros(count, np.int64)
-    for byte in range(4):
-        has = lengths > byte
+    ranks = data[starts].astype(np.int64)
+    for byte in range(1, int(lengths.max(initial=1))):
+        has = np.flatnonzero(lengths > byte)
         ranks[has] |= data[starts[has] + byte].astype(np.int64) << (8 * byte)
     return ranks
 

@@ -9,11 +9,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from tollgate.llm.words import BYTE_CODES, run_hashes
+
 OTHER, SPACE, LETTER, MARK = range(4)
 #: Bytes that the chunks kept by an encoder may take, about, before it starts anew.
 KEPT_BYTES = 64_000_000
 #: What a kept chunk takes beside its bytes, and what each of its ids takes.
-ENTRY_BYTES, ID_BYTES = 120, 8
+ENTRY_BYTES, ID_BYTES = 29, 4
 
 
 def byte_classes() -> np.ndarray:
@@ -41,37 +43,88 @@ def byte_letters() -> dict[int, str]:
 
 
 class Chunks:
-    """Ids of chunks by number; a chunk keeps its number until the bound is reached and all are dropped."""
+    """Ids of chunks by number, in arrays: chunks are found by 64-bit hash and compared byte by byte.
+
+    At the bound those stay that were met again, and the others are dropped; all, if that leaves too many.
+    A chunk keeps its number till then.
+    """
 
     def __init__(self, kept_bytes: int = KEPT_BYTES):
         self.kept_bytes = kept_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.number, self.bytes = {}, 0
-        self.lengths, self.firsts, self.ids = (np.zeros(0, np.int64) for _ in range(3))
-
-    def numbers(self, chunks: list[bytes], ids_of) -> np.ndarray:
+        self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted, and their numbers
+        self.text, self.borders = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.id_borders = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.met = np.zeros(0, bool)
+
+    def taken(self) -> int:
+        return len(self.text) + ENTRY_BYTES * len(self.met) + ID_BYTES * len(self.ids)
+
+    def thin(self) -> None:
+        """Drop what was not met again."""
+        kept = np.flatnonzero(self.met)
+        stay = self.met[self.order]
+        self.hashes, self.order = self.hashes[stay], (np.cumsum(self.met, dtype=np.int32) - 1)[self.order[stay]]
+        self.text, self.borders = picked(self.text, self.borders, kept)
+        self.ids, self.id_borders = picked(self.ids, self.id_borders, kept)
+        self.met = np.zeros(len(kept), bool)
+
+    def numbers(self, data: np.ndarray, borders: np.ndarray, ids_of) -> np.ndarray:
         """The distinct chunks' numbers; ids_of gives the ids of those that are new, as many as they may be."""
-        if self.bytes > self.kept_bytes:
-            self.clear()
-        get = self.number.get
-        found = np.array([get(chunk, -1) for chunk in chunks], np.int64)
+        if self.taken() > self.kept_bytes:
+            self.thin()
+            if self.taken() > self.kept_bytes // 2:
+                self.clear()
+        hashes = run_hashes(BYTE_CODES[data], borders[:-1], borders[1:])
+        found = self.known(data, borders, hashes)
+        self.met[found[found >= 0]] = True
         unknown = np.flatnonzero(found < 0)
-        new = [chunks[i] for i in unknown.tolist()]
-        if new:
-            ids = ids_of(new)
+        if len(unknown):
+            raw = data.tobytes()
+            starts, ends = borders[unknown].tolist(), borders[unknown + 1].tolist()
+            ids = ids_of([raw[a:b] for a, b in zip(starts, ends, strict=True)])
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
-            first = len(self.ids) + np.cumsum(lengths) - lengths
-            found[unknown] = len(self.lengths) + np.arange(len(new))
-            self.number.update(zip(new, found[unknown].tolist(), strict=True))
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.firsts = np.concatenate([self.firsts, first])
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+            text, places = picked(data, borders, unknown)
+            found[unknown] = len(self.met) + np.arange(len(unknown))
+            by_hash = np.argsort(hashes[unknown])
+            new = hashes[unknown][by_hash]
+            at = np.searchsorted(self.hashes, new)
+            self.hashes = np.insert(self.hashes, at, new)
+            self.order = np.insert(self.order, at, found[unknown][by_hash])
+            self.borders = np.concatenate([self.borders, len(self.text) + places[1:]])
+            self.text = np.concatenate([self.text, text])
+            self.id_borders = np.concatenate([self.id_borders, len(self.ids) + np.cumsum(lengths)])
             self.ids = np.concatenate([self.ids, flat])
-            self.bytes += sum(map(len, new)) + ENTRY_BYTES * len(new) + ID_BYTES * len(flat)
+            self.met = np.concatenate([self.met, np.zeros(len(unknown), bool)])
         return found
 
+    def known(self, data: np.ndarray, borders: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each chunk that is kept, else -1; one hidden behind an equal hash counts as new."""
+        found = np.full(len(hashes), -1, np.int64)
+        if not len(self.hashes):
+            return found
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number = self.order[at].astype(np.int64)
+        sizes = np.diff(borders)
+        same = (self.hashes[at] == hashes) & (np.diff(self.borders)[number] == sizes)
+        chosen = np.flatnonzero(same)
+        ours, places = picked(data, borders, chosen)
+        first = np.repeat(self.borders[number[chosen]] - places[:-1], sizes[chosen])
+        differ = np.add.reduceat(ours != self.text[first + np.arange(len(ours))], places[:-1]) if len(ours) else 0
+        chosen = chosen[differ == 0]
+        found[chosen] = number[chosen]
+        return found
+
+
+def picked(values: np.ndarray, borders: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of values between some borders, one after the other, and their own borders."""
+    sizes = borders[chosen + 1] - borders[chosen]
+    own = np.concatenate(([0], np.cumsum(sizes)))
+    return values[np.repeat(borders[chosen] - own[:-1], sizes) + np.arange(own[-1])], own
+
 
 class Encoder:
     """Encodes runs of texts with a tokenizers file, without special tokens added.
@@ -163,28 +216,24 @@ class Encoder:
         starts = self.cuts(data)
         starts[borders[:-1][np.diff(borders) > 0]] = True
         starts = np.flatnonzero(starts)
-        chunk_text = np.searchsorted(borders, starts, side="right") - 1
         offsets = np.append(starts, len(data)).astype(np.int32)
         chunks = pa.Array.from_buffers(
             pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
         _, places, joined = chunks.dictionary.buffers()
-        places = np.frombuffer(places, np.int32, len(chunks.dictionary) + 1).tolist()
-        joined = joined.to_pybytes()
-        distinct = [joined[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
-        which = self.chunks.numbers(distinct, self.chunk_ids)[chunks.indices.to_numpy()]
-        counts = self.chunks.lengths[which]
-        ends = np.cumsum(counts)
-        taken = self.chunks.ids[np.repeat(self.chunks.firsts[which] - (ends - counts), counts) + np.arange(ends[-1])]
-        per_text = np.bincount(chunk_text, weights=counts, minlength=size).astype(np.int64)
+        places = np.frombuffer(places, np.int32, len(chunks.dictionary) + 1).astype(np.int64)
+        joined = np.frombuffer(joined, np.uint8, places[-1])
+        which = self.chunks.numbers(joined, places, self.chunk_ids)[chunks.indices.to_numpy()]
+        taken, ends = picked(self.chunks.ids, self.chunks.id_borders, which)
+        taken, ends = taken.astype(np.int64), ends[np.searchsorted(starts, borders)]
         if whole.any():
-            parts = np.split(taken, np.cumsum(per_text)[:-1])
+            parts = np.split(taken, ends[1:-1])
             for i in np.flatnonzero(whole):
                 text = raw[borders[i] : borders[i + 1]].decode("utf-8", "replace")
                 parts[i] = np.array(self.encode_all([text])[0], np.int64)
             taken = np.concatenate(parts)
-            per_text = np.array([len(part) for part in parts])
-        return taken, np.concatenate(([0], np.cumsum(per_text)))
+            ends = np.concatenate(([0], np.cumsum([len(part) for part in parts])))
+        return taken, ends
 
 
 @lru_cache(maxsize=2)
