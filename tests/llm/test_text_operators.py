@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tollgate.llm import superminhash, tokens
-from tollgate.llm.common import Store
+from tollgate.llm.common import Store, setting
 from tollgate.llm.components import components
 from tollgate.llm.language import identify, learn
 from tollgate.llm.mixing import mix, targets
@@ -119,6 +119,30 @@ def test_near_duplicates_of_a_common_passage(spark, monkeypatch):
     assert sum(compared[1:]) < len(docs)
 
 
+def test_rounds_of_near_duplicates_write_few_files(spark, monkeypatch):
+    """Tables of a round have files by their size, not one for each partition."""
+    files, keep = [], Store.keep
+
+    def counted(store, df, name, *rest, **options):
+        kept = keep(store, df, name, *rest, **options)
+        if name in ("classes", "entries"):
+            files.append(len(kept.inputFiles()))
+        return kept
+
+    monkeypatch.setattr(Store, "keep", counted)
+    text = [f"w{i}" for i in range(1100)]
+    rows = [(i, " ".join(text[8 * i : 8 * i + 100])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    most = 2 * spark.sparkContext.defaultParallelism
+    with (
+        setting(spark, "spark.sql.shuffle.partitions", str(most + 24)),
+        setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"),
+    ):
+        found = near_duplicates(docs).collect()
+    assert {row.component_id for row in found} == {0}
+    assert files[0] > 4 and max(files) <= most
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     shared, one, two = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (300, 100, 100))

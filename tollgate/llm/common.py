@@ -15,6 +15,8 @@ from tollgate.session import fresh_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text a Python task holds at once, beyond a single longer document.
 STEP_BYTES = 2_000_000
+#: Bytes of the tables that bound a kept one for which a task of its own writes a file.
+FILE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,8 +54,15 @@ class Store:
     def path(self, name: str) -> str:
         return fresh_path(self.spark, f"{self.name}-{name}")
 
-    def keep(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-        """Write a table and read it back: lineage ends here and a lost executor loses nothing."""
+    def keep(self, df: DataFrame, name: str, *partition_by: str, within: tuple[DataFrame, ...] = ()) -> DataFrame:
+        """Write a table and read it back: lineage ends here and a lost executor loses nothing.
+
+        within: kept tables that this one, and what its last stage reads, do not outgrow. Then so many files
+        are written as those tables have bytes, two a core at least, however many partitions there are.
+        """
+        if within:
+            size = sum(stored_bytes(self.spark, one._store_path) for one in within)
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
         path = self.path(name)
         writer = df.write.option("compression", "zstd")
         if partition_by:
@@ -74,6 +83,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Whether a table has at most that many rows; reads no further."""
     return df.limit(rows + 1).count() <= rows

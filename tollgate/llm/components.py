@@ -67,6 +67,6 @@ def components(store: Store, edges: DataFrame) -> DataFrame:
         chained = tree.join(tree.select(F.col("node").alias("root")).distinct(), "root", "left_semi").limit(1)
         if several.isEmpty() and chained.isEmpty():
             return tree
-        next_tree = store.keep(linked_up(tree).mapInArrow(forests, EDGES), "forest")
+        next_tree = store.keep(linked_up(tree).mapInArrow(forests, EDGES), "forest", within=(tree,))
         store.drop(tree)
         tree = next_tree

@@ -141,7 +141,7 @@ def mix(
         group = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")), F.lit(fan_in**level))
         grouped = open_rows.groupBy("source", group.alias("group")).agg(F.array_sort(F.collect_list(item)).alias("items"))
         settled = grouped.select("source", settle(F.col("items"), seed + level).alias("state"))
-        settled = store.keep(settled.select("source", "state.done", "state.left"), "round")
+        settled = store.keep(settled.select("source", "state.done", "state.left"), "round", within=(rows,))
         fields = [f"row.{name}" for name in ("doc_id", "size", "source_size", "target", "base", "extra")]
         done = settled.select("source", F.explode("done").alias("row"))
         decided.append(done.select("source", *fields))

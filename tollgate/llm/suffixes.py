@@ -128,7 +128,8 @@ def repeated_passages(
 
     sparse = store.keep(texts.mapInArrow(suffixes, SORTED), "suffixes")
     matched = neighbours(store, sparse)
-    marks = store.keep(matched.groupBy("doc_id").agg(F.collect_set("hash").alias("marks")), "marks")
+    marks = matched.groupBy("doc_id").agg(F.collect_set("hash").alias("marks"))
+    marks = store.keep(marks, "marks", within=(sparse,))
     store.drop(sparse)
 
     def extended(batches):
@@ -145,7 +146,7 @@ def repeated_passages(
     later = later.groupBy(F.col("doc_id").alias("_doc")).agg(
         F.collect_list("place").alias("_starts"), F.collect_list("hash").alias("_hashes")
     )
-    later = store.keep(later, "later")
+    later = store.keep(later, "later", within=(windows,))
     store.drop(windows, marks)
 
     def finish(batches):

@@ -157,14 +157,14 @@ def near_duplicates(
     sketched = store.keep(sketched, "sketches")
     named = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    classes = store.keep(classes, "classes")
+    classes = store.keep(classes, "classes", within=(sketched,))
 
     heads = named.join(classes.select("digest", "doc_id"), ["digest", "doc_id"], "left_semi")
     entries = heads.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     entries = entries.withColumns({"node": F.col("doc_id"), "n_common": F.col("n_shingles")})
     shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = shared.where("low <> high").select("bucket")
-    entries = store.keep(entries.join(shared, "bucket").distinct(), "entries")
+    entries = store.keep(entries.join(shared, "bucket").distinct(), "entries", within=(sketched,))
 
     sets = rows.join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = store.keep(sets.mapInArrow(full_sets(shingle), "doc_id long, shingles array<long>"), "sets")
@@ -181,12 +181,14 @@ def near_duplicates(
             following = relabelled(following.drop("node"), roots)
             store.drop(links)
             links = roots
-        following = store.keep(following, "entries")
-        left = store.keep(unfinished(following if turn == 0 else within_reach(following, percent)), "entries")
+        following = store.keep(following, "entries", within=(entries, links))
+        left = unfinished(following if turn == 0 else within_reach(following, percent))
+        left = store.keep(left, "entries", within=(following,))
         store.drop(entries, following, found)
         if turn == 0:
             met = store.keep(rarest(left, sets, percent), "entries")
-            following, left = left, store.keep(unfinished(within_reach(met, percent)), "entries")
+            kept = unfinished(within_reach(met, percent))
+            following, left = left, store.keep(kept, "entries", within=(met,))
             store.drop(following, met)
         entries, turn = left, turn + 1
     store.drop(entries, sets)
